@@ -1,0 +1,96 @@
+"""Parts of a postal address out of house number, street and zip, whichever field they stand in (built-in expressions)."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from venueweave.functions.text import col, fold_ascii, replace_all, words
+
+#: Street types with the ways they are written.
+STREET_TYPES = {
+    "st": ["street", "st", "str", "strt"],
+    "ave": ["avenue", "ave", "av", "avn", "aven"],
+    "sq": ["square", "sq", "sqr"],
+    "blvd": ["boulevard", "blvd", "blv", "boul"],
+    "pl": ["place", "pl", "plc"],
+    "rd": ["road", "rd"],
+    "ln": ["lane", "ln", "la"],
+    "ter": ["terrace", "ter", "terr"],
+    "plz": ["plaza", "plz", "plza"],
+    "ct": ["court", "ct", "crt"],
+    "pkwy": ["parkway", "pkwy", "pky", "pkway"],
+    "dr": ["drive", "dr", "drv"],
+    "hwy": ["highway", "hwy"],
+    "way": ["way"],
+    "aly": ["alley", "aly"],
+}
+DIRECTIONS = {"n": ["n", "north"], "s": ["s", "south"], "e": ["e", "east"], "w": ["w", "west"]}
+
+_UNITS = ["first", "second", "third", "fourth", "fifth", "sixth", "seventh", "eighth", "ninth"]
+_TEENS = ["tenth", "eleventh", "twelfth", "thirteenth", "fourteenth", "fifteenth", "sixteenth", "seventeenth", "eighteenth", "nineteenth"]
+_TENS = ["twent", "thirt", "fort", "fift", "sixt", "sevent", "eight", "ninet"]
+#: Ordinal words up to ninety-ninth, as the one word the tokens are joined to.
+ORDINALS = (
+    {w: i + 1 for i, w in enumerate(_UNITS)}
+    | {w: i + 10 for i, w in enumerate(_TEENS)}
+    | {t + "ieth": 10 * (i + 2) for i, t in enumerate(_TENS)}
+    | {t + "y" + u: 10 * (i + 2) + k + 1 for i, t in enumerate(_TENS) for k, u in enumerate(_UNITS)}
+)
+
+
+def _lookup(table: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+
+
+_TYPE_OF = {form: kind for kind, forms in STREET_TYPES.items() for form in forms}
+_DIRECTION_OF = {form: kind for kind, forms in DIRECTIONS.items() for form in forms}
+_TYPE_WORDS = "|".join(_TYPE_OF)
+_UNIT = (
+    "[,\\s]+(?:fl|floor|ste|suite|unit|apt|room|rm)\\b\\.?\\s*#?\\s*[a-z0-9]+\\s*$"
+    "|[,\\s]+\\d+(?:st|nd|rd|th)\\s+(?:floor|fl)\\b\\.?\\s*$"
+    "|[,\\s]+#\\s*[a-z0-9]+\\s*$"
+    "|[,\\s]+(?:rear|front|upstairs|basement)\\s*$"
+)
+_NUMBER = "^\\s*(?:no\\.?\\s*|nr\\.?\\s*|#\\s*)?0*(\\d+(?:-\\d+)?)\\s*-?\\s*([a-z]?)\\s*$"
+_ZIP = "(?:^|[,\\s]+)(\\d{5})(?:-\\d{4})?\\s*$"
+
+
+def with_address(df: DataFrame, housenumber: str = "housenumber", street: str = "street", zip_: str = "zip", prefix: str = "a_") -> DataFrame:
+    """Adds number (with its letter), direction, base name, type and zip, each '' where it is not stated.
+
+    The number may stand in the street (before or behind the name), the zip at the end of the street; floors, suites
+    and units are dropped; ordinals become numbers; '216-A', '106 A', '#10' and '0168A' lose their trimmings.
+    """
+    s, n, t = f"{prefix}s", f"{prefix}n", f"{prefix}t"
+    folded = replace_all(F.lower(F.coalesce(fold_ascii(street), F.lit(""))), ("\\([^)]*\\)", " "), ("\\bny\\b\\s*(?=\\d{5})", " "))
+    df = df.withColumn(s, folded).withColumn(f"{prefix}zs", F.regexp_extract(s, _ZIP, 1))
+    df = df.withColumn(s, replace_all(s, (_ZIP, " "), (_UNIT, " "), (_UNIT, " "), ("[^a-z0-9 ]+", " "), ("\\s+", " "), ("^ | $", "")))
+    stated = F.lower(F.coalesce(col(housenumber), F.lit("")))
+    df = df.withColumn(n, F.concat(F.regexp_extract(stated, _NUMBER, 1), F.regexp_extract(stated, _NUMBER, 2)))
+    front = f"^0*(\\d+)([a-z]?) (?!(?:{_TYPE_WORDS})\\b)(?=.*[a-z0-9])"
+    back = " 0*(\\d+)([a-z]?)$"
+    lead = F.concat(F.regexp_extract(s, front, 1), F.regexp_extract(s, front, 2))
+    tail = F.concat(F.regexp_extract(s, back, 1), F.regexp_extract(s, back, 2))
+    df = df.withColumn(f"{prefix}l", F.when(F.col(n) == "", lead).otherwise("")).withColumn(f"{prefix}k", F.when((F.col(n) == "") & (F.col(f"{prefix}l") == ""), tail).otherwise(""))
+    df = df.withColumn(s, F.when(F.col(f"{prefix}l") != "", replace_all(s, (front, ""))).when(F.col(f"{prefix}k") != "", replace_all(s, (back, ""))).otherwise(F.col(s)))
+    df = df.withColumn(n, F.concat(n, f"{prefix}l", f"{prefix}k"))
+    joined = replace_all(s, ("\\b(\\d+)(?:st|nd|rd|th)\\b", "$1"), (f"\\b({'|'.join(t + 'y' for t in _TENS)}) ({'|'.join(_UNITS)})\\b", "$1$2"))
+    ordinals = _lookup({k: str(v) for k, v in ORDINALS.items()})
+    spelt = F.transform(words(joined), lambda w: F.coalesce(F.try_element_at(ordinals, w), w))
+    df = df.withColumn(t, F.when(joined.rlike("(?:th|first|second|third)\\b"), spelt).otherwise(words(joined)))
+    types, directions = _lookup(_TYPE_OF), _lookup(_DIRECTION_OF)
+    several = F.size(t) > 1
+    kinds = F.filter(F.transform(F.slice(F.col(t), 2, 50), lambda w: F.try_element_at(types, w)), lambda k: k.isNotNull())
+    ways = F.filter(F.transform(F.col(t), lambda w: F.try_element_at(directions, w)), lambda k: k.isNotNull())
+    base = F.filter(F.col(t), lambda w, i: ((i == 0) | F.try_element_at(types, w).isNull()) & F.try_element_at(directions, w).isNull())
+    zip_own = F.regexp_extract(F.coalesce(col(zip_), F.lit("")), "(\\d{5})", 1)
+    return df.withColumns(
+        {
+            f"{prefix}number": F.col(n),
+            f"{prefix}type": F.when(several, F.coalesce(F.try_element_at(kinds, F.lit(-1)), F.lit(""))).otherwise(""),
+            f"{prefix}way": F.when(several, F.coalesce(F.try_element_at(ways, F.lit(1)), F.lit(""))).otherwise(""),
+            f"{prefix}base": F.when(several, F.array_join(base, " ")).otherwise(F.array_join(t, " ")),
+            f"{prefix}zip": F.when(zip_own != "", zip_own).otherwise(F.col(f"{prefix}zs")),
+        }
+    ).drop(s, n, t, f"{prefix}zs", f"{prefix}l", f"{prefix}k")
