@@ -1,0 +1,40 @@
+"""Weighted character n-grams with prefix filters, as DataFrame plans."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def ngrams(c: Column, n: int = 2) -> Column:
+    """Distinct character n-grams of a text framed by '^' and '$'."""
+    framed = F.concat(F.lit("^"), c, F.lit("$"))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(framed) - (n - 1))), lambda i: F.substr(framed, i, F.lit(n))))
+
+
+def weighted_ngrams(texts: DataFrame, text: str, threshold: float, n: int = 2) -> DataFrame:
+    """(text, grams, prefix): unit vectors of damped inverse frequencies, rarest gram first, and their index prefix.
+
+    ``grams`` is a map from gram to weight; the weight is the square root of the usual logarithm, so that a mistyped
+    gram, always rare, doesn't outweigh the rest. ``prefix`` holds the leading grams without which a cosine of
+    ``threshold`` is out of reach: two vectors at least that similar share one of them. ``texts`` must be distinct.
+    """
+    each = texts.select(text, F.explode(ngrams(F.col(text), n)).alias("gram"))
+    counts = each.groupBy("gram").agg(F.count("*").alias("df"))  # as many rows as there are n-grams of the alphabet
+    total = texts.agg(F.count("*").alias("total"))  # one row
+    weighed = each.join(counts, "gram").crossJoin(F.broadcast(total)).withColumn("w", F.sqrt(F.log(1.0 + F.col("total") / F.col("df"))))
+    vectors = weighed.groupBy(text).agg(F.array_sort(F.collect_list(F.struct("df", "gram", "w"))).alias("v"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    squares = F.transform("v", lambda x: F.pow(x["w"] / F.col("norm"), F.lit(2.0)))
+    tail = lambda i: F.aggregate(F.slice(squares, i + 1, F.size("v")), F.lit(0.0), lambda a, x: a + x)
+    prefix = F.transform(F.filter(F.col("v"), lambda x, i: tail(i) >= threshold * threshold - 1e-9), lambda x: x["gram"])
+    return vectors.select(text, F.map_from_arrays(F.transform("v", lambda x: x["gram"]), F.transform("v", lambda x: x["w"] / F.col("norm"))).alias("grams"), prefix.alias("prefix"))
+
+
+def cosine(a: Column, b: Column) -> Column:
+    """Dot product of two gram maps."""
+    return F.aggregate(F.map_entries(a), F.lit(0.0), lambda s, e: s + e["value"] * F.coalesce(F.try_element_at(b, e["key"]), F.lit(0.0)))
+
+
+def top_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
+    """The first row of each key in this order; Spark keeps one row per key and task before the shuffle."""
+    return df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_rank = 1").drop("_rank")
