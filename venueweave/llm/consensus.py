@@ -2,8 +2,10 @@
 
 An annotator's weight is the lower chi-squared quantile at the number of their labels over the sum of their squared
 distances to the current consensus, which is the reciprocal of an upper bound on their error variance: somebody with
-few labels gets little weight even if all of them agree. Consensus and weights alternate until no label changes.
-Each round shuffles the votes once, by item; an annotator with a third of all votes is an aggregate combined map-side.
+few labels gets little weight even if all of them agree. The consensus of an item is the weighted mean of its labels
+as indicator vectors; each vote is compared with the mean of the other votes, so that nobody's weight feeds on their
+own votes. Consensus and weights alternate until the weights stand still; the label is the one with most weight.
+Items and annotators are aggregates combined map-side: one with a third of all votes is no burden to a task.
 """
 
 from __future__ import annotations
@@ -13,8 +15,9 @@ from pyspark.sql import functions as F
 
 from venueweave.storage import Stash, broadcast_if_small
 
-#: Normal quantile of half the significance level (0.05 / 2), label distance kept free of zero, rounds at most.
-Z_LOW, SMOOTHING, ROUNDS = -1.959964, 0.5, 12
+#: Normal quantile of half the significance level (0.05 / 2); what keeps a sum of distances from zero; rounds at most;
+#: change of a weight, as a share of it, that ends them.
+Z_LOW, SMOOTHING, ROUNDS, STILL = -1.959964, 0.5, 12, 0.01
 
 VERDICTS = ["correct", "partial", "wrong"]
 FIELDS = ["vibe_tags", "noise_level", "crowd_level", "best_time", "recurring_events", "good_for", "sentiment"]
@@ -30,32 +33,42 @@ def discover_truth(votes: DataFrame, item: list[str], annotator: str = "reviewer
     """(consensus, annotators) of votes with one row for each item and annotator.
 
     consensus: the item columns, ``label``, ``votes`` and ``agreement``, the weighted share of votes for the label.
-    annotators: ``annotator``, ``n`` labels, ``weight`` and ``error`` rate against the consensus. Equal weighted sums
+    annotators: ``annotator``, ``n`` labels on items with other votes, ``weight`` and mean ``error``, the squared
+    distance to those votes. Equal weighted sums
     go to the label with more votes, then to the first in alphabetical order. Null labels are no votes; an empty
     table gives two empty tables.
     """
     kept = votes.select(*item, F.col(annotator).alias("annotator"), F.col(label).alias("label")).filter(F.col("annotator").isNotNull() & F.col("label").isNotNull())
     kept = Stash(kept, "votes")
-    weights, before, best = None, None, None
+    weights, change = None, None
     for _ in range(ROUNDS):
-        weighted = kept.df.withColumn("w", F.lit(1.0)) if weights is None else kept.df.join(broadcast_if_small(weights).select("annotator", F.col("weight").alias("w")), "annotator")
-        sums = weighted.groupBy(*item, "label").agg(F.round(F.sum("w"), 9).alias("s"), F.count("*").alias("n"))
-        ranked = F.struct(-F.col("s"), -F.col("n"), F.col("label").alias("label"))
-        held = best
-        best = Stash(sums.groupBy(*item).agg(F.min(ranked).alias("m"), F.sum("n").alias("votes"), F.sum("s").alias("all")).select(*item, F.col("m.label").alias("label"), "votes", (-F.col("m.col1") / F.col("all")).alias("agreement")), "consensus")
-        wrong = (F.col("label") != F.col("consensus")).cast("bigint")
-        each = kept.df.join(best.df.select(*item, F.col("label").alias("consensus")), item).groupBy("annotator").agg(F.count("*").alias("n"), F.sum(wrong).alias("wrong"))
-        now = Stash(each.withColumn("weight", chi_squared_low(F.col("n").cast("double")) / (F.col("wrong") + SMOOTHING)), "weights")
-        if held:
-            held.drop()
+        weighted = _weighted(kept.df, weights)
+        of_item = Window.partitionBy(*item)  # over an item's distinct labels
+        sums = weighted.groupBy(*item, "label").agg(F.sum("w").alias("s")).withColumns({"total": F.sum("s").over(of_item), "squares": F.sum(F.col("s") * F.col("s")).over(of_item)})
+        voted = weighted.join(sums, [*item, "label"])
+        own, rest = F.col("s") - F.col("w"), F.col("total") - F.col("w")
+        squares = F.col("squares") - F.col("s") * F.col("s") + own * own
+        voted = voted.withColumn("d", F.when(rest > 1e-9 * F.col("total"), F.greatest(F.lit(0.0), (1.0 - 2.0 * own / rest + squares / (rest * rest)) / 2.0)))
+        each = voted.groupBy("annotator").agg(F.count("d").alias("n"), F.coalesce(F.sum("d"), F.lit(0.0)).alias("distance"), F.max("w").alias("old"))
+        now = Stash(each.withColumn("weight", chi_squared_low(F.greatest(F.lit(1.0), F.col("n").cast("double"))) / (F.col("distance") + SMOOTHING)), "weights")
         if weights:
             weights.drop()
         weights = now
-        state = now.df.agg(F.sum("wrong"), F.sum(F.col("wrong") * (F.xxhash64("annotator") % 1_000_003))).first()
-        if state == before:
+        scale = weights.df.agg(F.sum("weight"), F.sum("old")).first()
+        change = weights.df.agg(F.max(F.abs(F.col("weight") * ((scale[1] or 1.0) / (scale[0] or 1.0)) / F.col("old") - 1.0))).first()[0]
+        if change is None or change < STILL:
             break
-        before = state
-    return best.df, weights.df.select("annotator", "n", "weight", (F.col("wrong") / F.col("n")).alias("error"))
+    sums = _weighted(kept.df, weights).groupBy(*item, "label").agg(F.round(F.sum("w"), 9).alias("s"), F.count("*").alias("n"))
+    ranked = F.struct((-F.col("s")).alias("s"), (-F.col("n")).alias("n"), F.col("label").alias("label"))
+    best = sums.groupBy(*item).agg(F.min(ranked).alias("m"), F.sum("n").alias("votes"), F.sum("s").alias("total"))
+    best = best.select(*item, F.col("m.label").alias("label"), "votes", (-F.col("m.s") / F.col("total")).alias("agreement"))
+    return best, weights.df.select("annotator", "n", "weight", (F.col("distance") / F.greatest(F.lit(1), F.col("n"))).alias("error"))
+
+
+def _weighted(votes: DataFrame, weights: Stash | None) -> DataFrame:
+    if weights is None:
+        return votes.withColumn("w", F.lit(1.0))
+    return votes.join(broadcast_if_small(weights).select("annotator", F.col("weight").alias("w")), "annotator")
 
 
 def review_votes(reviews: DataFrame) -> DataFrame:

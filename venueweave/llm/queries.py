@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venueweave.llm import consensus, groups, survivors
+from venueweave.llm import addresses, consensus, groups, survivors
 from venueweave.sources.tables import table
 
 
@@ -35,6 +35,11 @@ def p4_reviewers(spark: SparkSession, folder: str) -> DataFrame:
     return each.select(F.col("annotator").alias("reviewer"), "n", F.round("weight", 6).alias("weight"), F.round("error", 6).alias("error"))
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """raw_id_a, raw_id_b: every pair of records whose addresses denote the same building."""
+    return addresses.same_building_pairs(table(spark, folder, "rec"))
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     """venue_id, field, value: the latest real value of each attribute of each group."""
     rows = survivors.members(table(spark, folder, "rec"), table(spark, folder, "venue_sources"))
@@ -48,7 +53,7 @@ def p7_best_record(spark: SparkSession, folder: str) -> DataFrame:
     return best.select("venue_id", "raw_id", "completeness")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p4_found, p4_consensus, p4_reviewers, p7_found, p7_best_record)}
+QUERIES = {f.__name__: f for f in (p3_found, p4_found, p4_consensus, p4_reviewers, p6_found, p7_found, p7_best_record)}
 
 _MEMBERS = """
 fillers(x) as (select unnest(['', '-', '--', '?', 'n/a', 'na', 'none', 'null', 'nil', 'tbd', 'tba', 'unknown', 'not listed', 'unlisted', 'coming soon', 'pending', 'call front desk', 'yes', 'no', 'other', 'x', '.'])),
