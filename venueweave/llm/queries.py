@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venueweave.llm import addresses, consensus, groups, survivors
+from venueweave.llm import addresses, consensus, groups, matching, survivors
 from venueweave.sources.tables import table
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """raw_id_a, raw_id_b: pairs of one osm and one dohmh record of the same venue."""
+    rec = table(spark, folder, "rec").filter(F.col("source").isin("osm", "dohmh"))
+    return matching.match_records(rec).select("raw_id_a", "raw_id_b")
+
+
+def p1_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """The same pairs with the confidence of each."""
+    rec = table(spark, folder, "rec").filter(F.col("source").isin("osm", "dohmh"))
+    return matching.match_records(rec).withColumn("confidence", F.round("confidence", 4))
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """raw_id, group_id over the pairs decided ``matched`` whose ends are both in ``rec``."""
     pairs = table(spark, folder, "match_candidates").filter("decision = 'matched'")
@@ -53,7 +65,7 @@ def p7_best_record(spark: SparkSession, folder: str) -> DataFrame:
     return best.select("venue_id", "raw_id", "completeness")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p4_found, p4_consensus, p4_reviewers, p6_found, p7_found, p7_best_record)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p3_found, p4_found, p4_consensus, p4_reviewers, p6_found, p7_found, p7_best_record)}
 
 _MEMBERS = """
 fillers(x) as (select unnest(['', '-', '--', '?', 'n/a', 'na', 'none', 'null', 'nil', 'tbd', 'tba', 'unknown', 'not listed', 'unlisted', 'coming soon', 'pending', 'call front desk', 'yes', 'no', 'other', 'x', '.'])),
