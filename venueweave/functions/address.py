@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venueweave.functions.text import col, fold_ascii, replace_all, words
+from venueweave.functions.text import col, fold_ascii, replace_all
 
 #: Street types with the ways they are written.
 STREET_TYPES = {
@@ -44,8 +44,8 @@ def _lookup(table: dict[str, str]) -> Column:
 
 
 _TYPE_OF = {form: kind for kind, forms in STREET_TYPES.items() for form in forms}
-_DIRECTION_OF = {form: kind for kind, forms in DIRECTIONS.items() for form in forms}
 _TYPE_WORDS = "|".join(_TYPE_OF)
+_WAY_WORDS = "|".join(form for forms in DIRECTIONS.values() for form in forms)
 _UNIT = (
     "[,\\s]+(?:fl|floor|ste|suite|unit|apt|room|rm)\\b\\.?\\s*#?\\s*[a-z0-9]+\\s*$"
     "|[,\\s]+\\d+(?:st|nd|rd|th)\\s+(?:floor|fl)\\b\\.?\\s*$"
@@ -60,37 +60,43 @@ def with_address(df: DataFrame, housenumber: str = "housenumber", street: str =
     """Adds number (with its letter), direction, base name, type and zip, each '' where it is not stated.
 
     The number may stand in the street (before or behind the name), the zip at the end of the street; floors, suites
-    and units are dropped; ordinals become numbers; '216-A', '106 A', '#10' and '0168A' lose their trimmings.
+    and units are dropped; ordinals become numbers; '216-A', '106 A', '#10' and '0168A' lose their trimmings. A filter
+    on the result is best put behind a written table: pushed down, it would parse every row twice.
     """
     s, n, t = f"{prefix}s", f"{prefix}n", f"{prefix}t"
-    folded = replace_all(F.lower(F.coalesce(fold_ascii(street), F.lit(""))), ("\\([^)]*\\)", " "), ("\\bny\\b\\s*(?=\\d{5})", " "))
-    df = df.withColumn(s, folded).withColumn(f"{prefix}zs", F.regexp_extract(s, _ZIP, 1))
-    df = df.withColumn(s, replace_all(s, (_ZIP, " "), (_UNIT, " "), (_UNIT, " "), ("[^a-z0-9 ]+", " "), ("\\s+", " "), ("^ | $", "")))
-    stated = F.lower(F.coalesce(col(housenumber), F.lit("")))
-    df = df.withColumn(n, F.concat(F.regexp_extract(stated, _NUMBER, 1), F.regexp_extract(stated, _NUMBER, 2)))
+    # most rows need none of the costly rewriting: each step is guarded by a cheap test
+    text = F.coalesce(col(street), F.lit(""))
+    folded = F.when(text.rlike("[^ A-Za-z0-9.,#-]"), F.lower(fold_ascii(text))).otherwise(F.lower(text))
+    folded = F.when(folded.contains("("), replace_all(folded, ("\\([^)]*\\)", " "))).otherwise(folded)
+    df = df.withColumn(s, folded).withColumn(f"{prefix}zs", F.when(F.col(s).rlike("\\d\\s*$"), F.regexp_extract(s, _ZIP, 1)).otherwise(""))
+    rough = replace_all(s, ("\\bny\\s+\\d{5}(?:-\\d{4})?\\s*$", " "), (_ZIP, " "), (_UNIT, " "), (_UNIT, " "), ("[^a-z0-9 ]+", " "), ("\\s+", " "))
+    df = df.withColumn(s, F.trim(F.when(F.col(s).rlike("^[a-z]* ?[a-z]*[.]?$"), F.rtrim(F.translate(F.col(s), ".", ""))).otherwise(rough)))
+    stated = F.coalesce(col(housenumber), F.lit(""))
+    shown = F.lower(fold_ascii(stated))
+    number = F.when(stated.rlike("^[1-9][0-9]*$"), stated).when(F.trim(stated) == "", "").otherwise(F.concat(F.regexp_extract(shown, _NUMBER, 1), F.regexp_extract(shown, _NUMBER, 2)))
+    df = df.withColumn(n, number)
     front = f"^0*(\\d+)([a-z]?) (?!(?:{_TYPE_WORDS})\\b)(?=.*[a-z0-9])"
     back = " 0*(\\d+)([a-z]?)$"
-    lead = F.concat(F.regexp_extract(s, front, 1), F.regexp_extract(s, front, 2))
-    tail = F.concat(F.regexp_extract(s, back, 1), F.regexp_extract(s, back, 2))
-    df = df.withColumn(f"{prefix}l", F.when(F.col(n) == "", lead).otherwise("")).withColumn(f"{prefix}k", F.when((F.col(n) == "") & (F.col(f"{prefix}l") == ""), tail).otherwise(""))
-    df = df.withColumn(s, F.when(F.col(f"{prefix}l") != "", replace_all(s, (front, ""))).when(F.col(f"{prefix}k") != "", replace_all(s, (back, ""))).otherwise(F.col(s)))
-    df = df.withColumn(n, F.concat(n, f"{prefix}l", f"{prefix}k"))
+    seek = F.col(n) == ""
+    df = df.withColumn(f"{prefix}l", F.when(seek & F.col(s).rlike(front), replace_all(s, (front + ".*$", "$1$2"))).otherwise(""))
+    df = df.withColumn(f"{prefix}k", F.when(seek & (F.col(f"{prefix}l") == "") & F.col(s).rlike(back), replace_all(s, ("^.*" + back, "$1$2"))).otherwise(""))
+    bare = F.when(F.col(f"{prefix}l") != "", replace_all(s, (front, ""))).when(F.col(f"{prefix}k") != "", replace_all(s, (back, ""))).otherwise(F.col(s))
+    df = df.withColumns({s: bare, n: F.concat(n, f"{prefix}l", f"{prefix}k")})
     joined = replace_all(s, ("\\b(\\d+)(?:st|nd|rd|th)\\b", "$1"), (f"\\b({'|'.join(t + 'y' for t in _TENS)}) ({'|'.join(_UNITS)})\\b", "$1$2"))
     ordinals = _lookup({k: str(v) for k, v in ORDINALS.items()})
-    spelt = F.transform(words(joined), lambda w: F.coalesce(F.try_element_at(ordinals, w), w))
-    df = df.withColumn(t, F.when(joined.rlike("(?:th|first|second|third)\\b"), spelt).otherwise(words(joined)))
-    types, directions = _lookup(_TYPE_OF), _lookup(_DIRECTION_OF)
-    several = F.size(t) > 1
-    kinds = F.filter(F.transform(F.slice(F.col(t), 2, 50), lambda w: F.try_element_at(types, w)), lambda k: k.isNotNull())
-    ways = F.filter(F.transform(F.col(t), lambda w: F.try_element_at(directions, w)), lambda k: k.isNotNull())
-    base = F.filter(F.col(t), lambda w, i: ((i == 0) | F.try_element_at(types, w).isNull()) & F.try_element_at(directions, w).isNull())
+    spelt = F.array_join(F.transform(F.split(joined, " "), lambda w: F.coalesce(F.try_element_at(ordinals, w), w)), " ")
+    df = df.withColumn(t, F.when(F.col(s).rlike("(?:th|first|second|third)\\b"), spelt).when(F.col(s).rlike("\\d"), joined).otherwise(F.col(s)))
+    # the last type that isn't the first word; the first direction; what is left is the name
+    types = _lookup(_TYPE_OF)
+    last = F.substring_index(t, " ", -1)
+    plain = F.col(t).rlike("^[a-z]{3,} [a-z]+$") & ~F.col(t).rlike(f"^(?:{_WAY_WORDS}) | (?:{_WAY_WORDS})$")
+    found = F.regexp_extract(t, f" ({_TYPE_WORDS})(?= |$)(?!.* (?:{_TYPE_WORDS})(?: |$))", 1)
+    several = F.instr(t, " ") > 0
+    df = df.withColumn(f"{prefix}type", F.when(~several, "").when(plain, F.coalesce(F.try_element_at(types, last), F.lit(""))).otherwise(F.coalesce(F.try_element_at(types, found), F.lit(""))))
+    base = F.trim(replace_all(t, (f" (?:{_TYPE_WORDS})(?= |$)", ""), (f"(?:^| )(?:{_WAY_WORDS})(?= |$)", "")))
+    base = F.when(~several | (plain & (F.col(f"{prefix}type") == "")), F.col(t)).when(plain, F.substring_index(t, " ", 1)).when(base != "", base).otherwise(F.col(t))
+    way = F.when(several & ~plain, F.substring(F.regexp_extract(t, f"(?:^| )({_WAY_WORDS})(?= |$)", 1), 1, 1)).otherwise("")
     zip_own = F.regexp_extract(F.coalesce(col(zip_), F.lit("")), "(\\d{5})", 1)
     return df.withColumns(
-        {
-            f"{prefix}number": F.col(n),
-            f"{prefix}type": F.when(several, F.coalesce(F.try_element_at(kinds, F.lit(-1)), F.lit(""))).otherwise(""),
-            f"{prefix}way": F.when(several, F.coalesce(F.try_element_at(ways, F.lit(1)), F.lit(""))).otherwise(""),
-            f"{prefix}base": F.when(several, F.array_join(base, " ")).otherwise(F.array_join(t, " ")),
-            f"{prefix}zip": F.when(zip_own != "", zip_own).otherwise(F.col(f"{prefix}zs")),
-        }
+        {f"{prefix}number": F.col(n), f"{prefix}way": way, f"{prefix}base": base, f"{prefix}zip": F.when(zip_own != "", zip_own).otherwise(F.col(f"{prefix}zs"))}
     ).drop(s, n, t, f"{prefix}zs", f"{prefix}l", f"{prefix}k")
