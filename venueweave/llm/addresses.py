@@ -48,9 +48,9 @@ def settle_zips(parsed: DataFrame) -> DataFrame:
 
 def parsed_addresses(rec: DataFrame) -> DataFrame:
     """raw_id, number, way, base, type, zip, lat, lon of the records that state a house number and a street."""
-    rows = with_address(rec.select("raw_id", "housenumber", "street", "zip", "lat", "lon").filter("raw_id is not null").distinct())
-    rows = rows.select("raw_id", "lat", "lon", *[F.col(f"a_{c}").alias(c) for c in ("number", "way", "base", "type", "zip")])
-    return rows.filter("number != '' and base != ''")
+    rows = with_address(rec.select("raw_id", "housenumber", "street", "zip", "lat", "lon").filter("raw_id is not null"))
+    rows = Stash(rows.select("raw_id", "lat", "lon", *[F.col(f"a_{c}").alias(c) for c in ("number", "way", "base", "type", "zip")]), "parsed")
+    return rows.df.filter("number != '' and base != ''").distinct()
 
 
 def buildings(rec: DataFrame) -> DataFrame:
@@ -59,21 +59,24 @@ def buildings(rec: DataFrame) -> DataFrame:
     Null or blank fields, filler without a number and empty tables give no rows; copies of a record count once; a
     record whose zip is neither stated nor to be settled only equals records with the same reading.
     """
-    rows = Stash(settle_zips(Stash(parsed_addresses(rec), "parsed").df).drop("lat", "lon"), "settled")
+    rows = Stash(settle_zips(parsed_addresses(rec)).drop("lat", "lon"), "settled")
     street_n = rows.df.groupBy("zip", "base").agg(F.count("*").alias("street_n"))
     names = Stash(weighted_ngrams(rows.df.select("base").distinct(), "base", COSINE), "grams")
     parts = ["number", "zip", "base", "way", "type"]
     nodes = rows.df.groupBy(*parts).agg(F.count("*").alias("n")).withColumn("node", F.xxhash64(*parts))
-    nodes = Stash(nodes.join(street_n, ["zip", "base"]).join(names.df, "base"), "nodes").df
+    nodes = Stash(nodes.join(street_n, ["zip", "base"]).join(names.df.select("base", "prefix"), "base"), "nodes").df
     index = nodes.withColumn("gram", F.explode("prefix")).drop("prefix")
-    right = index.select("number", "zip", "gram", *[F.col(c).alias(f"{c}_b") for c in ("node", "base", "way", "type", "n", "street_n", "grams")])
+    right = index.select("number", "zip", "gram", *[F.col(c).alias(f"{c}_b") for c in ("node", "base", "way", "type", "n", "street_n")])
     rare = F.least("street_n", "street_n_b") <= RARE_SHARE * F.greatest("street_n", "street_n_b")
     digits = F.col("base").rlike("\\d") | F.col("base_b").rlike("\\d")
-    alike = (F.col("base") == F.col("base_b")) | (~digits & (F.levenshtein("base", "base_b", EDITS) >= 0) & rare & (cosine(F.col("grams"), F.col("grams_b")) >= COSINE))
-    pairs = index.join(right, ["number", "zip", "gram"]).filter(F.col("node") != F.col("node_b"))
-    pairs = pairs.filter(_compatible(F.col("way"), F.col("way_b")) & _compatible(F.col("type"), F.col("type_b")) & alike)
+    near = (F.col("base") == F.col("base_b")) | (rare & (F.levenshtein("base", "base_b", EDITS) >= 0) & ~digits)
     better = (F.col("street_n_b") > F.col("street_n")) | ((F.col("street_n_b") == F.col("street_n")) & ((F.col("n_b") > F.col("n")) | ((F.col("n_b") == F.col("n")) & (F.col("node_b") < F.col("node")))))
-    best = top_by(pairs.filter(better).select("node", "node_b", "street_n_b", "n_b"), ["node"], F.col("street_n_b").desc(), F.col("n_b").desc(), F.col("node_b"))
+    pairs = index.join(right, ["number", "zip", "gram"]).filter(better & _compatible(F.col("way"), F.col("way_b")) & _compatible(F.col("type"), F.col("type_b")) & near)
+    pairs = pairs.select("node", "node_b", "base", "base_b", "street_n_b", "n_b").distinct()
+    grams = names.df.select("base", "grams")
+    pairs = pairs.join(grams, "base").join(grams.withColumnsRenamed({"base": "base_b", "grams": "grams_b"}), "base_b")
+    pairs = pairs.filter((F.col("base") == F.col("base_b")) | (cosine(F.col("grams"), F.col("grams_b")) >= COSINE))
+    best = top_by(pairs.select("node", "node_b", "street_n_b", "n_b"), ["node"], F.col("street_n_b").desc(), F.col("n_b").desc(), F.col("node_b"))
     parent = Stash(best.select("node", F.col("node_b").alias("parent")), "parents").df
     up = parent.select(F.col("node").alias("parent"), F.col("parent").alias("grand"))
     top = parent.join(up, "parent", "left").select("node", F.coalesce("grand", "parent").alias("parent"))
