@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venueweave.llm import addresses, consensus, groups, matching, survivors
+from venueweave.llm import addresses, consensus, groups, leakage, matching, packing, repetition, survivors
 from venueweave.sources.tables import table
 
 
@@ -65,7 +65,42 @@ def p7_best_record(spark: SparkSession, folder: str) -> DataFrame:
     return best.select("venue_id", "raw_id", "completeness")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p3_found, p4_found, p4_consensus, p4_reviewers, p6_found, p7_found, p7_best_record)}
+def p8_packed(spark: SparkSession, folder: str) -> DataFrame:
+    """container_id, doc_id, piece, tokens, sequence: all documents packed into each kind of container."""
+    return packing.packed_containers(table(spark, folder, "documents"), table(spark, folder, "containers"))
+
+
+def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """Sequences, tokens and share of the room filled, by kind of container."""
+    used = p8_packed(spark, folder).groupBy("container_id", "sequence").agg(F.sum("tokens").alias("tokens"))
+    each = used.groupBy("container_id").agg(F.count("*").alias("sequences"), F.sum("tokens").alias("tokens"))
+    return each.join(table(spark, folder, "containers"), "container_id").withColumn("filled", F.round(F.col("tokens") / (F.col("sequences") * F.col("capacity_tokens")), 6))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, item_id: documents that hold at least a third of an item's report in passages of ten words or more."""
+    found = leakage.leaked(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+    return found.select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"))
+
+
+def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with the words and the share of the report found."""
+    found = leakage.leaked(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+    return found.select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "words", F.round("share", 6).alias("share"))
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id of the documents three tenths of whose words repeat an earlier run of five words or more."""
+    return repetition.repetitive(table(spark, folder, "documents")).select("doc_id").distinct()
+
+
+def p10_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Every measure of every document, and the rules it breaks."""
+    profile = repetition.quality_profile(table(spark, folder, "documents"))
+    return profile.withColumns({c: F.round(c, 6) for c, kind in profile.dtypes if kind == "double"})
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p3_found, p4_found, p4_consensus, p4_reviewers, p6_found, p7_found, p7_best_record, p8_packed, p8_fill, p9_found, p9_shares, p10_found, p10_profile)}
 
 _MEMBERS = """
 fillers(x) as (select unnest(['', '-', '--', '?', 'n/a', 'na', 'none', 'null', 'nil', 'tbd', 'tba', 'unknown', 'not listed', 'unlisted', 'coming soon', 'pending', 'call front desk', 'yes', 'no', 'other', 'x', '.'])),
@@ -118,5 +153,13 @@ with {_MEMBERS},
 s as (select *, (phone is not null)::int + (website is not null)::int + (last_inspection is not null)::int + (cuisine is not null)::int as completeness from v)
 select venue_id, raw_id, completeness from s
 qualify row_number() over (partition by venue_id order by completeness desc, score desc nulls last, fetched_at desc nulls last, raw_id) = 1
+""",
+    "p10_found": """
+with w as (select doc_id, row_number() over () as row, regexp_extract_all(lower(text), '\\p{L}+') as ws from documents where text is not null),
+g as (select row, unnest(range(1, len(ws) - 3)) as i, ws from w where len(ws) > 5),
+h as (select row, i, ws[i:i + 4] as gram from g),
+r as (select row, i from h qualify row_number() over (partition by row, gram order by i) > 1),
+c as (select row, sum(least(5, coalesce(following - i, 5))) as n from (select row, i, lead(i) over (partition by row order by i) as following from r) group by row)
+select distinct doc_id from c join w using (row) where n >= 0.3 * len(ws)
 """,
 }
