@@ -17,7 +17,9 @@ def _plain(c: Column | str) -> Column:
 
 def phone_value(c: Column | str) -> Column:
     """Ten digits of a number that can work: no extension, no country code, not one digit repeated, area code 2 to 9."""
-    body = replace_all(_plain(c), ("(?:x|ext\\.?|extension|#)\\s*\\d+\\s*$", ""))
+    text = col(c)
+    # most numbers hold nothing but digits, and need no rewriting
+    body = F.when(text.rlike("^\\d*$"), text).otherwise(replace_all(_plain(c), ("(?:x|ext\\.?|extension|#)\\s*\\d+\\s*$", "")))
     digits = replace_all(body, ("\\D", ""))
     ten = F.when((F.length(digits) == 11) & digits.startswith("1"), F.substring(digits, 2, 10)).otherwise(digits)
     good = ten.rlike("^[2-9]\\d{9}$") & ~ten.rlike("^(\\d)\\1{9}$") & ~body.rlike("[a-z]")
