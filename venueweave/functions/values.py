@@ -15,15 +15,17 @@ def _plain(c: Column | str) -> Column:
     return F.lower(F.trim(replace_all(col(c), ("\\s+", " "))))
 
 
+#: A ten-digit number with area code 2 to 9, not one digit repeated, a country 1 before and an extension behind allowed.
+_PHONE = (
+    "^(?!\\D*(?:1\\D*)?(\\d)(?:\\D*\\1){9}(?!\\d))\\s*\\+?(?:1[\\s().-]*)?\\(?([2-9]\\d{2})[\\s().-]*(\\d{3})[\\s().-]*(\\d{4})\\s*"
+    "(?:(?:x|ext\\.?|extension|#)\\s*\\d+)?\\s*$"
+)
+
+
 def phone_value(c: Column | str) -> Column:
     """Ten digits of a number that can work: no extension, no country code, not one digit repeated, area code 2 to 9."""
-    text = col(c)
-    # most numbers hold nothing but digits, and need no rewriting
-    body = F.when(text.rlike("^\\d*$"), text).otherwise(replace_all(_plain(c), ("(?:x|ext\\.?|extension|#)\\s*\\d+\\s*$", "")))
-    digits = replace_all(body, ("\\D", ""))
-    ten = F.when((F.length(digits) == 11) & digits.startswith("1"), F.substring(digits, 2, 10)).otherwise(digits)
-    good = ten.rlike("^[2-9]\\d{9}$") & ~ten.rlike("^(\\d)\\1{9}$") & ~body.rlike("[a-z]")
-    return F.when(good, ten)
+    text = F.lower(col(c))
+    return F.when(text.rlike(_PHONE), F.regexp_replace(text, F.lit(_PHONE), F.lit("$2$3$4")))
 
 
 def web_host(c: Column | str) -> Column:

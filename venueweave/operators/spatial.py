@@ -24,22 +24,25 @@ from venueweave.storage import Stash, broadcast_if_small
 _DEGREE_M = math.pi * EARTH_RADIUS_M / 180.0
 
 
-def _level(lat: Column, metres: float) -> Column:
-    """Deepest quadtree level whose cells are at least 2 * metres wide and high at this latitude."""
+def _level(lat: Column, metres: float, finer: int = 0) -> Column:
+    """Deepest quadtree level whose cells are at least 2 * metres wide and high at this latitude, or so many levels finer."""
     rows = int(math.floor(math.log2(180.0 * _DEGREE_M / (2 * metres))))
     width = F.cos(F.radians(F.least(F.lit(90.0), F.abs(lat)))) * (360.0 * _DEGREE_M / (2 * metres))
     level = F.floor(F.log2(F.greatest(F.lit(1.0), width)))
-    return F.greatest(F.lit(0), F.least(F.lit(max(0, min(rows, MORTON_BITS))), level)).cast("bigint")
+    level = F.greatest(F.lit(0), F.least(F.lit(max(0, min(rows, MORTON_BITS - finer))), level))
+    return (F.when(level == 0, 0).otherwise(level + finer) if finer else level).cast("bigint")
 
 
 def _key(level: Column, row: Column, column: Column) -> Column:
     return F.shiftleft(level, 54).bitwiseOR(morton(row, column))
 
 
-def disc_cells(lat: Column, lon: Column, metres: float) -> Column:
-    """Keys of the cells that a disc of this radius touches; across the date line, and over a pole at level 0."""
+def disc_cells(lat: Column, lon: Column, metres: float, finer: int = 0) -> Column:
+    """Keys of the cells that a disc of this radius touches; across the date line, and over a pole at level 0.
+
+    Four cells at most, or more but smaller ones with ``finer``: fewer candidates for more keys."""
     reach = metres / _DEGREE_M
-    level = _level(F.abs(lat) + reach, metres)
+    level = _level(F.abs(lat) + reach, metres, finer)
     n = F.pow(F.lit(2.0), level)
     wide = F.abs(lat) + reach >= 89.9999
     dlon = F.when(wide, F.lit(180.0)).otherwise(F.degrees(F.asin(F.least(F.lit(1.0), math.sin(metres / EARTH_RADIUS_M) / F.cos(F.radians(lat)))))) * 1.000001
@@ -51,10 +54,10 @@ def disc_cells(lat: Column, lon: Column, metres: float) -> Column:
     return F.flatten(cells)
 
 
-def point_cells(lat: Column, lon: Column, metres: float) -> Column:
+def point_cells(lat: Column, lon: Column, metres: float, finer: int = 0) -> Column:
     """Keys under which a point is found by the discs that may hold it: one level nearly everywhere."""
     reach = 1.000001 * metres / _DEGREE_M
-    low, high = _level(F.abs(lat) + 2 * reach, metres), _level(F.greatest(F.lit(0.0), F.abs(lat) - reach), metres)
+    low, high = _level(F.abs(lat) + 2 * reach, metres, finer), _level(F.greatest(F.lit(0.0), F.abs(lat) - reach), metres, finer)
     levels = F.sequence(low, F.greatest(low, high))
     return F.transform(levels, lambda v: _key(v, axis_cell(lat, -90.0, 180.0, v), axis_cell(lon, -180.0, 360.0, v)))
 
