@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -52,6 +53,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def replace_all(c: Column | str, *rules: tuple[str, str]) -> Column:
     """Regular-expression replacements applied in turn."""
     return reduce(lambda out, rule: F.regexp_replace(out, F.lit(rule[0]), F.lit(rule[1])), rules, col(c))

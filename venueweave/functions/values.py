@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from venueweave.functions.text import col, replace_all
+from venueweave.functions.text import col, let, replace_all
 
 #: Texts that stand for "no value", compared in lower case without outer blanks.
 FILLERS = ["", "-", "--", "?", "n/a", "na", "none", "null", "nil", "tbd", "tba", "unknown", "not listed", "unlisted", "coming soon", "pending", "call front desk", "yes", "no", "other", "x", "."]
@@ -15,17 +15,11 @@ def _plain(c: Column | str) -> Column:
     return F.lower(F.trim(replace_all(col(c), ("\\s+", " "))))
 
 
-#: A ten-digit number with area code 2 to 9, not one digit repeated, a country 1 before and an extension behind allowed.
-_PHONE = (
-    "^(?!\\D*(?:1\\D*)?(\\d)(?:\\D*\\1){9}(?!\\d))\\s*\\+?(?:1[\\s().-]*)?\\(?([2-9]\\d{2})[\\s().-]*(\\d{3})[\\s().-]*(\\d{4})\\s*"
-    "(?:(?:x|ext\\.?|extension|#)\\s*\\d+)?\\s*$"
-)
-
-
 def phone_value(c: Column | str) -> Column:
     """Ten digits of a number that can work: no extension, no country code, not one digit repeated, area code 2 to 9."""
-    text = F.lower(col(c))
-    return F.when(text.rlike(_PHONE), F.regexp_replace(text, F.lit(_PHONE), F.lit("$2$3$4")))
+    bare = let(F.lower(col(c)), lambda v: F.when(v.rlike("[x#]"), F.regexp_replace(v, "(?:x|ext\\.?|extension|#)\\s*\\d+\\s*$", "")).otherwise(v))
+    digits = F.regexp_replace(bare, "[\\s().+/-]+", "")
+    return let(digits, lambda d: F.when(d.rlike("^1?[2-9]\\d{9}$") & ~d.rlike("^1?(\\d)\\1{9}$"), F.substring(d, -10, 10)))
 
 
 def web_host(c: Column | str) -> Column:

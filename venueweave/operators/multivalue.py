@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from venueweave.functions.text import let, replace_all
 from venueweave.storage import Stash
 
 #: Bits for naming a delimiter kind in the dialect, for an exception in the dialect, for a quoted value.
@@ -75,8 +76,12 @@ def _word(text: str, last: bool) -> str:
     return re.sub(r"\d", "9", (parts[-1] if last else parts[0]).strip("\"'.,()")) if parts else ""
 
 
-def _counted(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.lower(c), "^[\"'.,()]+|[\"'.,()]+$", ""), "\\d", "9")
+def _counted(text: Column) -> Column:
+    """A field with its words as they are counted: lower case, digits alike, outer punctuation dropped."""
+    text = F.lower(F.regexp_replace(text, "\\s+", " "))
+    text = let(text, lambda v: F.when(v.rlike("\\d"), F.regexp_replace(v, "\\d", "9")).otherwise(v))
+    outer = (("(^| )[\"'.,()]+", "$1"), ("[\"'.,()]+( |$)", "$1"))
+    return F.trim(let(text, lambda v: F.when(v.rlike("[\"'.,()]"), replace_all(v, *outer)).otherwise(v)))
 
 
 def _class_of(c: Column) -> Column:
@@ -85,9 +90,8 @@ def _class_of(c: Column) -> Column:
 
 def word_pairs(fields: DataFrame) -> DataFrame:
     """(first, second, n) over all fields; '^' starts and '$' ends a value."""
-    parts = fields.select(F.split(F.trim(F.regexp_replace("text", "\\s+", " ")), " ").alias("w")).filter("size(w) > 0 and w[0] != ''")
-    framed = parts.select(F.concat(F.array(F.lit("^")), F.transform("w", _counted), F.array(F.lit("$"))).alias("w"))
-    pairs = framed.select(F.explode(F.transform(F.slice("w", 2, 1_000_000), lambda x, i: F.struct(F.get("w", i).alias("first"), x.alias("second")))).alias("p"))
+    framed = fields.select(F.split(F.concat(F.lit("^ "), _counted(F.col("text")), F.lit(" $")), " ").alias("w"))
+    pairs = framed.select(F.explode(F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w")), lambda x, y: F.struct(x.alias("first"), y.alias("second")))).alias("p"))
     return pairs.groupBy("p.first", "p.second").agg(F.count("*").alias("n"))
 
 
