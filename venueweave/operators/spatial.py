@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venueweave.functions.geo import EARTH_RADIUS_M, MORTON_BITS, axis_cell, haversine_m, morton, morton_code, usable
-from venueweave.storage import Stash, broadcast_if_small
+from venueweave.storage import BROADCAST_ROWS, Stash
 
 _DEGREE_M = math.pi * EARTH_RADIUS_M / 180.0
 
@@ -191,14 +191,17 @@ def inside_regions(df: DataFrame, regions: DataFrame, key: str = "raw_id", lat:
     most a fixed number of rows for each region; it is broadcast only after it was counted, else joined by shuffle.
     """
     shift = lambda code, level: F.shiftright(code, 2 * (MORTON_BITS - level))
-    cover = Stash(region_cover(regions, name, geojson), "cover")
-    side = broadcast_if_small(cover)
+    cover = Stash(region_cover(regions, name, geojson), "cover").df
     points = _points(df, key, lat, lon).withColumn("code", morton_code("lat", "lon"))
-    levels = sorted(r[0] for r in cover.df.select("bucket_level").distinct().collect())  # of four possible values
     found = None
-    for level in levels:
-        ranges = side.filter(F.col("bucket_level") == level).withColumn("bucket", F.explode(F.sequence(shift(F.col("low"), level), shift(F.col("high"), level)))).drop("bucket_level")
-        ranges = F.broadcast(ranges) if cover.rows * _SPAN <= 64 * 200_000 and cover.rows <= 200_000 else ranges
+    for level in _BUCKET_LEVELS:
+        first, last = shift(F.col("low"), level), shift(F.col("high"), level)
+        ranges = cover.filter(F.col("bucket_level") == level)
+        buckets = ranges.agg(F.sum(last - first + 1)).first()[0]  # rows once every range stands under each of its buckets
+        if not buckets:
+            continue
+        ranges = ranges.withColumn("bucket", F.explode(F.sequence(first, last))).drop("bucket_level")
+        ranges = F.broadcast(ranges) if buckets <= BROADCAST_ROWS else ranges
         hits = points.withColumn("bucket", shift(F.col("code"), level)).join(ranges, "bucket").filter((F.col("code") >= F.col("low")) & (F.col("code") <= F.col("high")))
         cross = lambda e: ((e.y1 > F.col("lat")) != (e.y2 > F.col("lat"))) & (F.col("lon") < (e.x2 - e.x1) * (F.col("lat") - e.y1) / F.when(e.y2 != e.y1, e.y2 - e.y1) + e.x1)
         odd = F.size(F.filter(F.col("edges"), lambda e: F.coalesce(cross(e), F.lit(False)))) % 2 == 1

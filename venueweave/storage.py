@@ -38,7 +38,7 @@ class Stash:
         spark = df.sparkSession
         self._spark = spark
         self.path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        df.write.option("compression", "zstd").parquet(self.path)
         self.df = spark.read.schema(df.schema).parquet(self.path)
         self._rows: int | None = None
 
