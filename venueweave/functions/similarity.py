@@ -38,3 +38,33 @@ def cosine(a: Column, b: Column) -> Column:
 def top_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """The first row of each key in this order; Spark keeps one row per key and task before the shuffle."""
     return df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_rank = 1").drop("_rank")
+
+
+def _piece(length: Column, i: Column, edits: int) -> tuple[Column, Column]:
+    """Start from 0 and length of the i-th of edits + 1 pieces of a text of this length."""
+    start = F.floor(length * i / (edits + 1)).cast("int")
+    return start, F.floor(length * (i + 1) / (edits + 1)).cast("int") - start
+
+
+def piece_keys(text: Column, edits: int) -> Column:
+    """Keys of the edits + 1 pieces of a text: one of them is among the ``probe_keys`` of every text within so many edits."""
+    length, keys = F.length(text), []
+    for i in range(edits + 1):
+        start, n = _piece(length, F.lit(i), edits)
+        keys.append(F.xxhash64(length, F.lit(i), text.substr(start + 1, n)))
+    return F.array(*keys)
+
+
+def probe_keys(text: Column, edits: int) -> Column:
+    """Keys of the places where a piece of a text within so many edits may stand in this one."""
+    own = F.length(text)
+
+    def of_piece(length: Column, i: Column) -> Column:
+        start, n = _piece(length, i, edits)
+        low = F.greatest(F.lit(0), start - i, start + own - length - edits + i)
+        high = F.least(own - n, start + i, start + own - length + edits - i)
+        return F.when(low <= high, F.transform(F.sequence(low, F.greatest(low, high)), lambda s: F.xxhash64(length, i, text.substr(s + 1, n)))).otherwise(F.array().cast("array<bigint>"))
+
+    pieces = F.sequence(F.lit(0), F.lit(edits))
+    lengths = F.sequence(F.greatest(F.lit(0), own - edits), own + edits)
+    return F.array_distinct(F.flatten(F.transform(lengths, lambda length: F.flatten(F.transform(pieces, lambda i: of_piece(length, i))))))
