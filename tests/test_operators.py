@@ -134,3 +134,10 @@ def test_provider_and_search(spark):
     profiles = spark.createDataFrame([(1, {"quiet": 2, "cozy": 1}, 3, None), (2, {"quiet": 1}, 9, 0.5), (3, None, 1, 0.1)], "venue_id bigint, vibe_tag_counts map<string,bigint>, review_count bigint, mean_confidence double")
     assert [r["venue_id"] for r in readmodels.search(profiles, ["quiet"]).collect()] == [2, 1]
     assert [r["venue_id"] for r in readmodels.search(profiles, ["quiet", "cozy"]).collect()] == [1]
+
+
+def test_extraction_reads_whole_texts(spark):
+    text = "Plain words here. " * 2000 + "A cozy and loud room."
+    reviews = spark.createDataFrame([(1, text)], "id int, text string")
+    row = extraction.ground(extraction.extract(reviews).join(reviews, "id")).first()
+    assert row["vibe_tags"] == ["cozy", "loud"] and row["noise_level"] == "loud" and row["dropped_fields"] == []

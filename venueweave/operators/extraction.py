@@ -11,14 +11,13 @@ from pyspark.sql import functions as F
 
 from venueweave.functions.text import norm_quote
 
-# The vocabulary of tags, the fields that need a quote, the characters of a text that a provider reads.
+# The vocabulary of tags, the fields that need a quote.
 VIBES = [
     "casual", "upscale", "romantic", "lively", "cozy", "divey", "trendy", "classic", "family-friendly", "tourist-heavy", "locals", "quiet", "loud",
     "intimate", "spacious", "rustic", "modern", "kitschy", "no-frills", "late-night", "outdoor-seating", "counter-service", "old-school", "scene-y", "hidden-gem",
 ]
 GROUNDED = ["vibe_tags", "noise_level", "crowd_level", "best_time", "recurring_events", "good_for"]
 LISTS = ["vibe_tags", "recurring_events", "good_for"]
-READ_CHARS = 4000
 INSIGHT = (
     "vibe_tags array<string>, noise_level string, crowd_level string, best_time string, recurring_events array<string>, good_for array<string>, "
     "sentiment string, evidence array<struct<field: string, quote: string>>, confidence double"
@@ -41,7 +40,7 @@ def keyword_provider(text: str) -> dict:
 
 
 def extract(reviews: DataFrame, provider: Callable[[str], dict] = keyword_provider, parallel: int | None = None) -> DataFrame:
-    """id and the insight a provider reads from the first characters of each text; ``parallel`` bounds its callers."""
+    """id and the insight a provider reads from the whole of each text; ``parallel`` bounds its callers."""
     names = [c.split(" ")[0] for c in INSIGHT.replace(": ", ":").split(", ") if ":" not in c.split(" ")[0] and not c.startswith("quote")]
     kind = dict(reviews.dtypes)["id"]
 
@@ -49,7 +48,7 @@ def extract(reviews: DataFrame, provider: Callable[[str], dict] = keyword_provid
         for batch in batches:
             rows = []
             for key, text in zip(batch["id"], batch["text"], strict=True):
-                out = provider((text or "")[:READ_CHARS])
+                out = provider(text or "")
                 rows.append((key, *[out.get(n, [] if n in (*LISTS, "evidence") else None) for n in names]))
             yield pd.DataFrame(rows, columns=["id", *names])
 
