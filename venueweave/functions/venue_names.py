@@ -35,10 +35,23 @@ KINDS = {
 EMPTY_WORDS = ["the", "and", "llc", "inc", "corp", "co", "ltd", "nyc", "incorporated", "corporation", "limited"]
 
 _KIND_OF = {form: kind for kind, forms in KINDS.items() for form in forms}
+#: Letters from which on a kind and a word may differ by a misspelling.
+LONG_KIND = 6
+
+
+def _spelt(w: Column) -> Column:
+    """A long word one edit or two swapped letters from a kind, after the same first letter, as that kind is written."""
+    letters = lambda x: F.array_sort(F.split(x, ""))
+    out = None
+    for form in sorted(f for f in _KIND_OF if len(f) >= LONG_KIND):
+        swapped = (F.levenshtein(w, F.lit(form), 2) == 2) & (F.length(w) == len(form)) & (letters(w) == F.array(*[F.lit(x) for x in sorted(form)]))
+        near = w.startswith(form[0]) & F.when(F.levenshtein(w, F.lit(form), 1) >= 0, True).otherwise(swapped)
+        out = F.when(near, form) if out is None else out.when(near, form)
+    return F.when((F.length(w) >= LONG_KIND) & ~w.isin(list(_KIND_OF)), out.otherwise(w)).otherwise(w)
 
 
 def name_words(c: Column | str) -> Column:
-    """Folded words without branch, store number and empty words; two-word kinds joined."""
+    """Folded words without branch, store number and empty words; two-word kinds joined, misspelt kinds put right."""
     text = F.lower(col(c))
     guarded = lambda x, sign, *rules: let(x, lambda v: F.when(v.contains(sign), replace_all(v, *rules)).otherwise(v))
     text = guarded(text, " - ", ("\\s+-\\s+[^-]*$", ""))
@@ -48,7 +61,7 @@ def name_words(c: Column | str) -> Column:
     clean = guarded(clean, " shop", ("\\bcoffee shop\\b", "coffee"))
     clean = guarded(clean, "tea room", ("\\btea room\\b", "tearoom"))
     clean = guarded(clean, "noodle h", ("\\bnoodle (?:house|hse)\\b", "noodlehouse"))
-    return F.filter(F.split(F.trim(clean), " "), lambda w: (w != "") & ~w.isin(EMPTY_WORDS))
+    return F.transform(F.filter(F.split(F.trim(clean), " "), lambda w: (w != "") & ~w.isin(EMPTY_WORDS)), _spelt)
 
 
 def name_core(tokens: Column) -> Column:
