@@ -21,11 +21,12 @@ def usable(lat: Column | str, lon: Column | str) -> Column:
 
 
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle distance in metres."""
+    """Great-circle distance in metres; null where a coordinate is null."""
     p1, p2 = F.radians(col(lat1)), F.radians(col(lat2))
     s1, s2 = F.sin((p2 - p1) / 2), F.sin(F.radians(col(lon2) - col(lon1)) / 2)
-    h = s1 * s1 + F.cos(p1) * F.cos(p2) * s2 * s2
-    return 2 * EARTH_RADIUS_M * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
+    h = F.sqrt(s1 * s1 + F.cos(p1) * F.cos(p2) * s2 * s2)
+    # least() skips nulls, so the bound is set by a condition, which doesn't
+    return 2 * EARTH_RADIUS_M * F.asin(F.when(h > 1.0, F.lit(1.0)).otherwise(h))
 
 
 def axis_cell(value: Column, low: float, extent: float, bits: int | Column) -> Column:

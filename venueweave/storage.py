@@ -21,7 +21,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
@@ -55,10 +55,28 @@ class Stash:
         path.getFileSystem(self._spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-#: A side is broadcast only if it was counted and has at most this many rows.
+#: A side is broadcast only if it was measured and takes at most so many bytes in memory.
+BROADCAST_BYTES = 32 << 20
+#: Rows of a few plain columns that stay within those bytes.
 BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(stash: Stash, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """The stashed table with a broadcast hint if its counted rows stay within ``limit``, else as it is."""
-    return F.broadcast(stash.df) if stash.rows <= limit else stash.df
+#: Bytes of a row in a hash relation besides its values.
+_ROW_BYTES = 64
+_NESTED = ("array", "map", "struct", "string", "binary", "variant")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes that the rows of ``df`` take in a hash relation, from one aggregate over it: strings by their length, nested
+    values by twice that of their JSON text, everything else by eight bytes."""
+    per_row = F.lit(_ROW_BYTES + 8 * len(df.columns)).cast("bigint")
+    for name, kind in df.dtypes:
+        if kind.startswith(_NESTED):
+            text = F.col(f"`{name}`") if kind == "string" else F.to_json(F.struct(F.col(f"`{name}`").alias("v")))
+            per_row = per_row + (1 if kind == "string" else 2) * F.coalesce(F.octet_length(text), F.lit(0))
+    return df.agg(F.coalesce(F.sum(per_row), F.lit(0))).first()[0]
+
+
+def broadcast_if_small(stash: Stash, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The stashed table with a broadcast hint if its measured bytes stay within ``limit``, else as it is."""
+    plain = not any(kind.startswith(_NESTED) for _, kind in stash.df.dtypes)
+    size = stash.rows * (_ROW_BYTES + 8 * len(stash.df.columns)) if plain else measured_bytes(stash.df) if stash.rows * _ROW_BYTES <= limit else limit + 1
+    return F.broadcast(stash.df) if size <= limit else stash.df
