@@ -110,10 +110,15 @@ def norm_zip(c: Column | str) -> Column:
 
 def title_case(c: Column | str) -> Column:
     """A capital after every character that is no letter, as in ``Mcsorley'S``."""
-    runs = F.regexp_extract_all(F.lower(col(c)), F.lit("([a-z]+|[^a-z]+)"), F.lit(1))
+    runs = F.regexp_extract_all(F.lower(col(c)), F.lit("(\\p{L}+|\\P{L}+)"), F.lit(1))
     return F.array_join(F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.substr(r, F.lit(2)))), "")
 
 
+def strip(c: Column | str) -> Column:
+    """Without white space at either end."""
+    return replace_all(c, ("^[ \\t\\n\\r\\f\\x0B]+|[ \\t\\n\\r\\f\\x0B]+$", ""))
+
+
 def norm_quote(c: Column | str) -> Column:
     """Straight quotes, single blanks, lower case, trimmed."""
     return F.lower(F.trim(replace_all(F.translate(col(c), "“”‘’", "\"\"''"), ("\\s+", " "))))

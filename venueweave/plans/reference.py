@@ -14,7 +14,6 @@ from venueweave.operators import blocking, extraction, ledger, readmodels, upser
 from venueweave.operators.components import components
 from venueweave.operators.spatial import inside_regions
 from venueweave.plans import canonical
-from venueweave.sources import feeds, parsers
 from venueweave.sources.tables import table
 from venueweave.storage import Stash
 
@@ -121,9 +120,12 @@ def normal_parts(spark, folder):
     return _rec(spark, folder).select("raw_id", norm_housenumber("housenumber").alias("housenumber"), norm_phone("phone").alias("phone"), norm_zip("zip").alias("zip")).distinct()
 
 
-@query("select distinct raw_id, array_to_string(list_transform(regexp_extract_all(lower(name), '[a-z]+|[^a-z]+'), lambda r: upper(r[1]) || r[2:]), '') as title from rec where regexp_full_match(name, '[\\x00-\\x7F]*')")
+_TITLE = "array_to_string(list_transform(regexp_extract_all(lower({0}), '\\p{{L}}+|\\P{{L}}+'), lambda r: upper(r[1]) || r[2:]), '')"
+
+
+@query(f"select distinct raw_id, {_TITLE.format('name')} as title from rec where name is not null")
 def title_cased(spark, folder):
-    return _rec(spark, folder).filter(F.col("name").rlike("^[\\x00-\\x7F]*$")).select("raw_id", title_case("name").alias("title")).distinct()
+    return _rec(spark, folder).filter("name is not null").select("raw_id", title_case("name").alias("title")).distinct()
 
 
 @query(
@@ -666,44 +668,3 @@ def extracted_tags(spark, folder):
     docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
     out = extraction.ground(extraction.extract(docs).join(docs, "id"))
     return out.select("id", _joined("vibe_tags"), "noise_level", _joined("dropped_fields"))
-
-
-# ------------------------------------------------------------------------------------------------ parsers on literals
-
-_SITEMAPS = ["<urlset><url><loc>https://x.example/b</loc></url><url><loc>https://x.example/a</loc></url></urlset>", "<urlset><url><loc> https://x.example/a </loc></url></urlset>"]
-_WIKI = "{{eat|name=Blue Fig|lat=40.7|long=-74.0|address=1 Ave|content=A [[place|room]] with {{nested}} soups and long evenings}} {{listing|type=drink|name=Moth|content=Too short}} {{listing|type=see|name=Hill|content=Nothing to eat on this hill at all, ever}}"
-_VERDICTS = "# batch\n### insight 12 x\n\nverdict: Correct\nfields: vibe_tags=wrong good_for=correct\nnotes: fine\n### insight 13\nverdict:\nfields:\nnotes:\n### insight 14\nverdict: wrong\nfields:\nnotes:\n"
-
-
-@query("select url from (values ('https://x.example/a'), ('https://x.example/b')) t(url)")
-def sitemap_links(spark, folder):
-    return parsers.sitemap_urls(spark.createDataFrame([(x,) for x in _SITEMAPS], "xml string"))
-
-
-@query("select 'P' as page, 'eat' as kind, 'Blue Fig' as name, 'A room with {{nested}} soups and long evenings' as content, cast(40.7 as double) as lat, cast(-74.0 as double) as lon, '1 Ave' as address, '' as price")
-def wiki_listings(spark, folder):
-    return parsers.listings(spark.createDataFrame([("P", _WIKI)], "page string, wikitext string"))
-
-
-@query("select cast(i as bigint) as insight_id, v as verdict, f as fields, n as notes from (values (12, 'correct', 'good_for=correct|vibe_tags=wrong', 'fine'), (14, 'wrong', '', null)) t(i, v, f, n)")
-def ingested_verdicts(spark, folder):
-    rows = parsers.verdict_blocks(spark.createDataFrame([(_VERDICTS,)], "value string"))
-    return rows.select("insight_id", "verdict", F.array_join(F.array_sort(F.transform(F.map_entries("field_verdicts"), lambda e: F.concat_ws("=", e["key"], e["value"]))), "|").alias("fields"), "notes")
-
-
-@query("select doc_id, regexp_replace(title, '\\s*\\([^()]*\\)$', '') as plain_title, regexp_extract(substr(text, 1, 1500), '\\b1\\d{4}\\b') as first_zip from documents")
-def article_fields(spark, folder):
-    return parsers.articles(table(spark, folder, "documents")).select("doc_id", "plain_title", "first_zip")
-
-
-@query("select name, category from (values ('Joe''S Cafe', 'cafe'), ('Moth & Sail', 'restaurant')) t(name, category)")
-def inspection_records(spark, folder):
-    raw = [("1", "JOE'S CAFE", "10", "WEST 3 STREET", "10001", "2125550100", "Coffee/Tea", "40.7", "-74.0", d) for d in ("1900-01-01T00:00:00", "2024-05-01T00:00:00")]
-    raw += [("2", "MOTH & SAIL", "7", "BROADWAY", "10002", None, "Peruvian", "0", "0", "1900-01-01T00:00:00"), ("3", None, "", "", "", "", "", "", "", "2024-01-01")]
-    return feeds.inspection_entities(spark.createDataFrame(raw, feeds.INSPECTIONS)).select("name", "category")
-
-
-@query("select source_id, name, category, lat from (values ('node/1', 'Blue Fig', 'cafe', cast(40.7 as double)), ('way/2', 'Biergarten', 'other', cast(40.8 as double))) t(source_id, name, category, lat)")
-def map_records(spark, folder):
-    raw = [("node", 1, 40.7, -74.0, None, {"name": "Blue Fig", "amenity": "cafe"}), ("way", 2, None, None, (40.8, -74.1), {"name": "Biergarten", "amenity": "biergarten"}), ("node", 3, 1.0, 1.0, None, {"amenity": "bar"})]
-    return feeds.osm_entities(spark.createDataFrame(raw, feeds.OSM)).select("source_id", "name", "category", "lat")

@@ -29,7 +29,7 @@ CUISINE_CATEGORY = {
 }
 
 OSM = "osm_type string, osm_id bigint, lat double, lon double, center struct<lat: double, lon: double>, tags map<string, string>"
-INSPECTIONS = "camis string, dba string, building string, street string, zipcode string, phone string, cuisine_description string, latitude string, longitude string, inspection_date string"
+INSPECTIONS = "camis string, dba string, building string, street string, zipcode string, phone string, cuisine_description string, latitude string, longitude string, inspection_date string, boro string"
 
 
 def read_osm(spark: SparkSession, path: str) -> DataFrame:
@@ -72,8 +72,10 @@ def category_of(cuisine: Column) -> Column:
     return F.coalesce(F.try_element_at(table, cuisine), F.lit("restaurant"))
 
 
-def inspection_entities(raw: DataFrame) -> DataFrame:
-    """One record for each permit and address, with its last inspection; the sentinel of 1900 is none."""
+def inspection_entities(raw: DataFrame, borough: str | None = "Manhattan") -> DataFrame:
+    """One record for each permit and address of a borough (of all without one), with its last inspection; the sentinel of
+    1900 is none."""
+    raw = raw if borough is None else raw.filter(F.col("boro") == borough)
     keys = ["camis", "dba", "building", "street", "zipcode", "phone", "cuisine_description", "latitude", "longitude"]
     last = raw.filter(F.coalesce("dba", F.lit("")) != "").groupBy(*keys).agg(F.max("inspection_date").alias("inspection_date"))
     day = F.substring("inspection_date", 1, 10)
