@@ -2,7 +2,7 @@ import json
 import math
 import random
 
-from venueweave.operators.spatial import inside_regions, near_pairs
+from venueweave.operators.spatial import inside_regions, near_pairs, region_cover
 
 POINTS = "raw_id bigint, lat double, lon double, cell string"
 
@@ -62,3 +62,18 @@ def test_inside_as_brute_force(spark):
     assert set(found) == expected and len(found) == len(expected)
     assert inside_regions(frame, regions.limit(0)).count() == 0
     assert inside_regions(frame.limit(0), regions).count() == 0
+
+
+def test_region_of_many_edges(spark):
+    """A wavy coast of 200,000 edges: points are judged as by its radius, and no cell carries more than a few edges."""
+    n = 200_000
+    radius = lambda t: 0.5 + 0.05 * math.sin(40 * t)
+    points = [[-74 + radius(t) * math.cos(t), 40.7 + radius(t) * math.sin(t)] for t in (2 * math.pi * k / n for k in range(n))]
+    regions = spark.createDataFrame([("coast", json.dumps({"type": "Polygon", "coordinates": [points + points[:1]]}))], "name string, geojson string")
+    rng = random.Random(5)
+    spots = [(rng.uniform(0.3, 0.6), rng.uniform(0, 2 * math.pi)) for _ in range(500)]
+    frame = spark.createDataFrame([(i, 40.7 + r * math.sin(t), -74 + r * math.cos(t), "x") for i, (r, t) in enumerate(spots)], POINTS)
+    expected = {i for i, (r, t) in enumerate(spots) if r < radius(t) - 1e-6}
+    unsure = {i for i, (r, t) in enumerate(spots) if abs(r - radius(t)) <= 1e-6}
+    assert {r["id"] for r in inside_regions(frame, regions).collect()} - unsure == expected
+    assert region_cover(regions).selectExpr("max(size(edges))").first()[0] <= 64

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venueweave.functions.text import let, replace_all
-from venueweave.storage import Stash
+from venueweave.storage import Stash, spread
 
 #: Bits for naming a delimiter kind in the dialect, for an exception in the dialect, for a quoted value.
 KIND_BITS, ESCAPE_BITS, QUOTE_BITS = 3.0, 3.0, 2.0
@@ -27,8 +27,11 @@ LITERAL_BITS, ODD_LITERAL_BITS = 4.0, 9.0
 _COMMON = ["comma", "slash", "word"]
 #: Weight, in words, of the prior in a word's code lengths; share of words that end a value in that prior.
 PRIOR_WORDS, PRIOR_END = 2.0, 0.3
-#: Words seen at most so often count as one of two classes, with and without a possessive ending.
-RARE_WORDS = 3
+#: Words that make up at most this share of all words, or were seen once, count as one of two classes, with and without a
+#: possessive ending.
+RARE_SHARE = 3e-5
+#: Fields that a task takes apart.
+FIELDS_PER_TASK = 50_000
 
 _WORDED = r"aka|a/k/a|dba|d/b/a|fka|f/k/a"
 _MAY_SPLIT = r'(?i)["|;/,·•\t\r\n]|\s(?:aka|a/k/a|dba|d/b/a|fka|f/k/a)\s'
@@ -98,7 +101,8 @@ def word_pairs(fields: DataFrame) -> DataFrame:
 def _with_bits(marks: DataFrame, counted: DataFrame) -> DataFrame:
     """Code lengths at each delimiter: ``end`` after the word before, ``start`` with the word behind, ``inner`` of the two as neighbours."""
     counted = Stash(counted, "pairs").df
-    common = Stash(counted.groupBy(F.col("second").alias("word")).agg(F.sum("n").alias("n")).filter(F.col("n") > RARE_WORDS).select("word"), "words").df.unionByName(counted.sparkSession.sql("select '^' as word"))
+    rare = max(1, int(RARE_SHARE * (counted.agg(F.sum("n")).first()[0] or 0)))
+    common = Stash(counted.groupBy(F.col("second").alias("word")).agg(F.sum("n").alias("n")).filter(F.col("n") > rare).select("word"), "words").df.unionByName(counted.sparkSession.sql("select '^' as word"))
 
     def classed(df: DataFrame, c: str) -> DataFrame:
         known = df.join(common.select(F.col("word").alias(c), F.lit(True).alias("known")), c, "left")
@@ -127,9 +131,9 @@ def split_values(df: DataFrame, key: str = "raw_id", text: str = "name") -> Data
     A null or blank field gives no row; a field without delimiters gives itself, trimmed. Repeated rows count once;
     a key with several texts gives the values of each. Other columns are ignored. Bare delimiters give no row.
     """
-    fields = df.select(F.col(key).alias("key"), F.col(text).alias("text")).filter("key is not null and text is not null and trim(text) != ''")
+    fields = df.select(F.col(key).alias("key"), F.col(text).alias("text")).filter("key is not null and text is not null and trim(text) != ''").distinct()
     plain = fields.filter(~F.col("text").rlike(_MAY_SPLIT))
-    packed = fields.filter(F.col("text").rlike(_MAY_SPLIT)).distinct()
+    packed = spread(Stash(fields.filter(F.col("text").rlike(_MAY_SPLIT)), "packed"), FIELDS_PER_TASK)
 
     def lex(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

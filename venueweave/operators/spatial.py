@@ -3,7 +3,7 @@
 A disc is covered by the quadtree cells it touches, at a level where that is four cells at most; each cell is an
 aligned range of the sorted codes, so that the range join becomes an equality on the code's prefix. A region is
 covered by ranges of cells wholly inside it, which need no further test, and by cells on its edge, which carry the
-few edges that decide. Every candidate is then refined exactly. No cross join, no driver-side index; hot cells are
+few edges that touch them and whether a corner is inside. Every candidate is then refined exactly. No cross join, no driver-side index; hot cells are
 split by adaptive execution, since the joins are ordinary inner equi-joins.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venueweave.functions.geo import EARTH_RADIUS_M, MORTON_BITS, axis_cell, haversine_m, morton, morton_code, usable
-from venueweave.storage import BROADCAST_ROWS, Stash
+from venueweave.storage import BROADCAST_BYTES, Stash, measured_bytes
 
 _DEGREE_M = math.pi * EARTH_RADIUS_M / 180.0
 
@@ -83,8 +83,8 @@ def near_pairs(df: DataFrame, metres: float, key: str = "raw_id", lat: str = "la
 
 # ------------------------------------------------------------------------------------------------ regions
 
-#: Quadtree nodes a region part is cut into at most; what is left undecided is tested exactly.
-COVER_NODES = 40
+#: Quadtree nodes a region part is cut into at least, if its edge needs them; edges that an edge cell may hold beyond that.
+COVER_NODES, CELL_EDGES = 40, 32
 _BUCKET_LEVELS = (15, 10, 5, 0)
 _SPAN = 64
 
@@ -118,39 +118,47 @@ def _touching(e: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> np.n
     return near & (side.min(axis=0) <= 0) & (side.max(axis=0) >= 0)
 
 
-def _holds(e: np.ndarray, x: float, y: float) -> bool:
-    cross = e[(e[:, 1] > y) != (e[:, 3] > y)]
-    return bool((x < (cross[:, 2] - cross[:, 0]) * (y - cross[:, 1]) / (cross[:, 3] - cross[:, 1]) + cross[:, 0]).sum() % 2)
+def _crossed(e: np.ndarray, x: float, y: float, cx: float, cy: float) -> bool:
+    """Whether the way from (x, y) right to cx and down to cy crosses these edges an odd number of times."""
+    a = e[(e[:, 1] > y) != (e[:, 3] > y)]
+    across = (a[:, 2] - a[:, 0]) * (y - a[:, 1]) / (a[:, 3] - a[:, 1]) + a[:, 0]
+    b = e[(e[:, 0] > cx) != (e[:, 2] > cx)]
+    height = (b[:, 3] - b[:, 1]) * (cx - b[:, 0]) / (b[:, 2] - b[:, 0]) + b[:, 1]
+    return bool((((across > x) & (across <= cx)).sum() + ((height > cy) & (height <= y)).sum()) % 2)
 
 
-def _cover(edges: np.ndarray) -> tuple[list[tuple[int, int]], list[tuple[int, int, np.ndarray]]]:
-    """(ranges of codes wholly inside, edge cells as (low, high, deciding edges))."""
+def _cover(edges: np.ndarray) -> tuple[list[tuple[int, int]], list[tuple]]:
+    """(ranges of codes wholly inside, edge cells as (low, high, x and y of the cell's lower right corner, whether that
+    corner is inside, edges that touch the cell)).
+
+    A point of an edge cell is inside as its corner is, unless the way from it, straight to the cell's right border and
+    down that border, crosses the edge an odd number of times; all edges it can cross touch the cell. So no edge stands in
+    cells it doesn't touch, and the cells shrink until few edges are left in each, however many the region has. The globe's
+    corner, on the south pole's line, is outside; a cell's corner follows from that of the cell it was cut from.
+    """
     inside, edge = [], []
-    xs, ys = edges[:, [0, 2]], edges[:, [1, 3]]
-    queue, nodes = [(0, 0, 0, np.arange(len(edges)))], 0
+    queue, nodes = [(0, 0, 0, np.arange(len(edges)), edges, (180.0, -90.0, False))], 0
     while queue:
         following = []
-        for level, row, column, own in queue:
+        for level, row, column, own, around, (px, py, odd) in queue:
             n = 1 << level
             h, w = 180.0 / n, 360.0 / n
             y0, x0 = -90.0 + row * h, -180.0 + column * w
-            e = edges[own]
             pad = 1e-9
-            hit = own[_touching(e, x0 - pad, y0 - pad, x0 + w + pad, y0 + h + pad)]
+            hit = own[_touching(edges[own], x0 - pad, y0 - pad, x0 + w + pad, y0 + h + pad)]
             code = int("".join(a + b for a, b in zip(format(row, f"0{max(level, 1)}b"), format(column, f"0{max(level, 1)}b"), strict=True)), 2)
             shift = 2 * (MORTON_BITS - level)
             low, high = code << shift, ((code + 1) << shift) - 1
+            corner = (x0 + w, y0, odd != _crossed(around, x0 + w, y0, px, py))
             if not len(hit):
-                if _holds(edges, x0 + w / 2, y0 + h / 2):
+                if corner[2]:
                     inside.append((low, high))
                 continue
-            small = (xs.max() - xs.min()) > 0 and level >= MORTON_BITS
-            if small or (nodes >= COVER_NODES and level >= 1):
-                decide = (ys.min(axis=1) <= y0 + h + pad) & (ys.max(axis=1) >= y0 - pad) & (xs.max(axis=1) >= x0 - pad)
-                edge.append((low, high, edges[decide]))
+            if level >= MORTON_BITS or (nodes >= COVER_NODES and level >= 1 and len(hit) <= CELL_EDGES):
+                edge.append((low, high, *corner, edges[hit]))
                 continue
             nodes += 1
-            following += [(level + 1, 2 * row + i, 2 * column + j, hit) for i in (0, 1) for j in (0, 1)]
+            following += [(level + 1, 2 * row + i, 2 * column + j, hit, edges[hit], corner) for i in (0, 1) for j in (0, 1)]
         queue = following
     merged: list[tuple[int, int]] = []
     for low, high in sorted(inside):
@@ -161,7 +169,12 @@ def _cover(edges: np.ndarray) -> tuple[list[tuple[int, int]], list[tuple[int, in
     return merged, edge
 
 
-_COVER_SCHEMA = "region string, parts int, low bigint, high bigint, bucket_level int, edges array<struct<x1: double, y1: double, x2: double, y2: double>>"
+_COVER_SCHEMA = "region string, parts int, low bigint, high bigint, bucket_level int, cx double, cy double, corner boolean, edges array<struct<x1: double, y1: double, x2: double, y2: double>>"
+
+
+def _crossing(p1: Column, p2: Column, q1: Column, q2: Column, q: Column, test) -> Column:
+    """Test of the place p at which the line from (p1, q1) to (p2, q2) passes q; false where it runs along it."""
+    return F.coalesce(test((p2 - p1) * (q - q1) / F.when(q2 != q1, q2 - q1) + p1), F.lit(False))
 
 
 def region_cover(regions: DataFrame, name: str = "name", geojson: str = "geojson") -> DataFrame:
@@ -174,10 +187,10 @@ def region_cover(regions: DataFrame, name: str = "name", geojson: str = "geojson
                 parts = _parts(text)
                 for edges in parts:
                     inside, edge = _cover(edges)
-                    for low, high, own in [*((a, b, None) for a, b in inside), *edge]:
+                    for low, high, cx, cy, corner, own in [*((a, b, None, None, None, None) for a, b in inside), *edge]:
                         level = next(v for v in _BUCKET_LEVELS if v == 0 or (high >> 2 * (MORTON_BITS - v)) - (low >> 2 * (MORTON_BITS - v)) < _SPAN)
-                        rows.append((region, len(parts), low, high, level, None if own is None else [dict(zip(("x1", "y1", "x2", "y2"), map(float, x), strict=True)) for x in own]))
-            yield pd.DataFrame(rows, columns=["region", "parts", "low", "high", "bucket_level", "edges"])
+                        rows.append((region, len(parts), low, high, level, cx, cy, corner, None if own is None else [dict(zip(("x1", "y1", "x2", "y2"), map(float, x), strict=True)) for x in own]))
+            yield pd.DataFrame(rows, columns=[c.split(" ")[0] for c in _COVER_SCHEMA.split(", ")[:8]] + ["edges"])
 
     chosen = regions.select(F.col(name).alias("region"), F.col(geojson).alias("geojson")).filter("region is not null and geojson is not null").distinct()
     spread = chosen.repartition(chosen.sparkSession.sparkContext.defaultParallelism)  # a few large texts, much work each
@@ -187,25 +200,27 @@ def region_cover(regions: DataFrame, name: str = "name", geojson: str = "geojson
 def inside_regions(df: DataFrame, regions: DataFrame, key: str = "raw_id", lat: str = "lat", lon: str = "lon", name: str = "name", geojson: str = "geojson") -> DataFrame:
     """(id, region) for each row and each region that contains it; holes are outside.
 
-    Unusable coordinates, null names and texts that are no polygon take no part; copies count once. The cover has at
-    most a fixed number of rows for each region; it is broadcast only after it was counted, else joined by shuffle.
+    Unusable coordinates, null names and texts that are no polygon take no part; copies count once. The cover grows with
+    the edges of the regions; it is broadcast only after its bytes were measured, else joined by shuffle.
     """
     shift = lambda code, level: F.shiftright(code, 2 * (MORTON_BITS - level))
     cover = Stash(region_cover(regions, name, geojson), "cover").df
     points = _points(df, key, lat, lon).withColumn("code", morton_code("lat", "lon"))
+    x, y = F.col("lon"), F.col("lat")
+    # edges crossed on the way to the right border and down it to the corner; ends count as a hair above and to the right
+    along = lambda e: ((e.y1 > y) != (e.y2 > y)) & _crossing(e.x1, e.x2, e.y1, e.y2, y, lambda at: (at > x) & (at <= F.col("cx")))
+    down = lambda e: ((e.x1 > F.col("cx")) != (e.x2 > F.col("cx"))) & _crossing(e.y1, e.y2, e.x1, e.x2, F.col("cx"), lambda at: (at > F.col("cy")) & (at <= y))
+    crossed = F.aggregate("edges", F.lit(0), lambda n, e: n + F.when(along(e), 1).otherwise(0) + F.when(down(e), 1).otherwise(0))
     found = None
     for level in _BUCKET_LEVELS:
         first, last = shift(F.col("low"), level), shift(F.col("high"), level)
-        ranges = cover.filter(F.col("bucket_level") == level)
-        buckets = ranges.agg(F.sum(last - first + 1)).first()[0]  # rows once every range stands under each of its buckets
-        if not buckets:
+        ranges = cover.filter(F.col("bucket_level") == level).withColumn("bucket", F.explode(F.sequence(first, last))).drop("bucket_level")
+        size = measured_bytes(ranges)
+        if not size:
             continue
-        ranges = ranges.withColumn("bucket", F.explode(F.sequence(first, last))).drop("bucket_level")
-        ranges = F.broadcast(ranges) if buckets <= BROADCAST_ROWS else ranges
+        ranges = F.broadcast(ranges) if size <= BROADCAST_BYTES else ranges
         hits = points.withColumn("bucket", shift(F.col("code"), level)).join(ranges, "bucket").filter((F.col("code") >= F.col("low")) & (F.col("code") <= F.col("high")))
-        cross = lambda e: ((e.y1 > F.col("lat")) != (e.y2 > F.col("lat"))) & (F.col("lon") < (e.x2 - e.x1) * (F.col("lat") - e.y1) / F.when(e.y2 != e.y1, e.y2 - e.y1) + e.x1)
-        odd = F.size(F.filter(F.col("edges"), lambda e: F.coalesce(cross(e), F.lit(False)))) % 2 == 1
-        hits = hits.filter(F.col("edges").isNull() | odd).select("id", "region", "parts")
+        hits = hits.filter(F.col("edges").isNull() | ((crossed % 2 == 1) != F.col("corner"))).select("id", "region", "parts")
         found = hits if found is None else found.unionByName(hits)
     if found is None:
         return points.select("id", F.lit(None).cast("string").alias("region")).limit(0)

@@ -80,3 +80,10 @@ def broadcast_if_small(stash: Stash, limit: int = BROADCAST_BYTES) -> DataFrame:
     plain = not any(kind.startswith(_NESTED) for _, kind in stash.df.dtypes)
     size = stash.rows * (_ROW_BYTES + 8 * len(stash.df.columns)) if plain else measured_bytes(stash.df) if stash.rows * _ROW_BYTES <= limit else limit + 1
     return F.broadcast(stash.df) if size <= limit else stash.df
+
+
+def spread(stash: Stash, per_task: int) -> DataFrame:
+    """The stashed rows dealt evenly to tasks of at most about ``per_task`` rows, and to every core: for work that costs CPU
+    out of proportion to its bytes, by which adaptive execution would join partitions."""
+    cores = stash.df.sparkSession.sparkContext.defaultParallelism
+    return stash.df.repartition(max(cores, -(-stash.rows // per_task)))
