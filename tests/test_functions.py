@@ -1,8 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from venueweave.functions import geo, strings, text, values
-from venueweave.functions.address import with_address
+from venueweave.functions import geo, strings, text
 
 
 def one(spark, value, f):
@@ -59,51 +58,6 @@ def test_geohash_vectors(spark):
     assert tuple(row) == ("u4pruydqqvj", "ezs42")
 
 
-@pytest.mark.parametrize(
-    ("value", "expected"),
-    [("+1 200 001 5769", "2000015769"), ("200-001-3132 x34", "2000013132"), ("(200) 001-5769", "2000015769"), ("9999999999", None), ("0000000000", None), ("555", None), ("call front desk", None), ("", None), (None, None), ("1-200-000-1372", "2000001372")],
-)
-def test_phone_value(spark, value, expected):
-    assert one(spark, value, values.phone_value) == expected
-
-
-@pytest.mark.parametrize(("value", "expected"), [("HTTP://WWW.Foo-Bar.EXAMPLE/menu?x=1", "foo-bar.example"), ("www.a1.example/", "a1.example"), ("info@mail.example", None), ("https://www.", None), ("TBD", None), (None, None)])
-def test_web_host(spark, value, expected):
-    assert one(spark, value, values.web_host) == expected
-
-
-@pytest.mark.parametrize(("value", "expected"), [("12/16/2025", "2025-12-16"), ("2023-12-15T00:00:00.000", "2023-12-15"), ("20210106", "2021-01-06"), ("9 Sep 2025", "2025-09-09"), ("2099-12-31", None), ("0000-00-00", None), ("1900-01-01", None), ("pending", None), ("", None), (None, None), ("13/13/2024", None)])
-def test_date_value(spark, value, expected):
-    found = one(spark, value, values.date_value)
-    assert (found and str(found)) == expected
-
-
-def test_cuisine_value(spark):
-    assert one(spark, " Middle_Eastern ", values.cuisine_value) == "middle eastern"
-    assert one(spark, "n/a", values.cuisine_value) is None
-
-
-@pytest.mark.parametrize(
-    ("given", "expected"),
-    [
-        (("0168A", "TIPEVUNE LANE Ste 4", "10000"), ("168a", "", "tipevune", "ln", "10000")),
-        (("", "280 Hepindick Street", "NY 10008"), ("280", "", "hepindick", "st", "10008")),
-        (("", "Dropiftune Avenue 51", ""), ("51", "", "dropiftune", "ave", "")),
-        (("No. 22", "W. 19TH AV, Fl 2, 10012-3344", None), ("22", "w", "19", "ave", "10012")),
-        (("106 A", "19 STREET E", "10027"), ("106a", "e", "19", "st", "10027")),
-        (("5", "East Seventh Street (rear)", "10007"), ("5", "e", "7", "st", "10007")),
-        (("5", "Twenty First St.", "10007"), ("5", "", "21", "st", "10007")),
-        (("", "19 Street", ""), ("", "", "19", "st", "")),
-        ((None, None, None), ("", "", "", "", "")),
-        (("216-A", "Drezigar", " 10006 "), ("216a", "", "drezigar", "", "10006")),
-    ],
-)
-def test_address_parts(spark, given, expected):
-    frame = spark.createDataFrame([given], "housenumber string, street string, zip string")
-    row = with_address(frame).select("a_number", "a_way", "a_base", "a_type", "a_zip").first()
-    assert tuple(row) == expected
-
-
 def test_similarities():
     assert strings.ratio("abcd", "abcd") == 100 and strings.ratio("", "") == 100
     assert strings.common_length("nziegow", "nizegow") == 6
@@ -112,3 +66,9 @@ def test_similarities():
     assert strings.name_similarity("the bao", "nan xiang xiao long bao") < 0.75
     assert strings.best_similarity(["fellini cucina fellini coffee", "fellini coffee"], ["fellini coffee"]) == 1.0
     assert strings.best_similarity([], ["x"]) == 0.0
+
+
+def test_distance_of_nulls(spark):
+    frame = spark.createDataFrame([(40.0, -74.0, 40.0, -74.0), (None, -74.0, 40.0, -74.0), (40.0, -74.0, 40.0, None), (90.0, 0.0, -90.0, 0.0)], "a double, b double, c double, d double")
+    same, *gone, apart = [r[0] for r in frame.select(geo.haversine_m("a", "b", "c", "d")).collect()]
+    assert same == 0.0 and gone == [None, None] and abs(apart - 20_015_086.8) < 1

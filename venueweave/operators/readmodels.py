@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from venueweave.functions.similarity import top_by
+from venueweave.functions.ranking import top_by
 
 # Versions whose insights count, stages of the pipeline.
 ADOPTED = ["v2", "v3"]
