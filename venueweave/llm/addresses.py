@@ -13,9 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venueweave.functions.address import with_address
+from venueweave.llm.address_parts import with_address
 from venueweave.functions.geo import haversine_m, usable
-from venueweave.functions.similarity import cosine, top_by, weighted_ngrams
+from venueweave.functions.ranking import top_by
+from venueweave.llm.ngrams import cosine, weighted_ngrams
 from venueweave.storage import Stash
 
 #: Least cosine of street names, most edits between them, most metres between two readings of a zip of one street,

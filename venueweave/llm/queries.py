@@ -103,7 +103,7 @@ def p10_profile(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p3_found, p4_found, p4_consensus, p4_reviewers, p6_found, p7_found, p7_best_record, p8_packed, p8_fill, p9_found, p9_shares, p10_found, p10_profile)}
 
 _MEMBERS = """
-fillers(x) as (select unnest(['', '-', '--', '?', 'n/a', 'na', 'none', 'null', 'nil', 'tbd', 'tba', 'unknown', 'not listed', 'unlisted', 'coming soon', 'pending', 'call front desk', 'yes', 'no', 'other', 'x', '.'])),
+fillers(x) as (select unnest(['', '-', '--', '?', 'n/a', 'na', 'none', 'null', 'nil', 'tbd', 'tba', 'unknown', 'not listed', 'unlisted', 'coming soon', 'pending', 'yes', 'no', 'other', 'x', '.'])),
 links as (
   select venue_id, raw_venue_id as raw_id, max(case when not isnan(match_score) then match_score end) as score
   from venue_sources where venue_id is not null and raw_venue_id is not null group by all),

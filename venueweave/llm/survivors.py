@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from venueweave.functions.values import cuisine_value, date_value, phone_value, web_host
+from venueweave.llm.values import cuisine_value, date_value, phone_value, web_host
 
 
 def best_record(df: DataFrame, group: str, fields: dict[str, Column], trust: Column, recency: Column, tie: Column) -> DataFrame:
