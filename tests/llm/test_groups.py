@@ -3,6 +3,8 @@ import random
 import pytest
 
 from venueweave.llm import groups
+from venueweave.operators.components import both_ways
+from venueweave.storage import Stash
 
 EDGES = "left bigint, right bigint, id bigint, group_id string"
 
@@ -19,10 +21,11 @@ def naive(edges):
     return {x: min(g) for x, g in group.items()}
 
 
-@pytest.mark.parametrize("rounds", [0, 1, 20])
-@pytest.mark.parametrize("kind", ["star and chain", "giant", "sorted chain"])
-def test_as_union_find(spark, monkeypatch, kind, rounds):
-    monkeypatch.setattr(groups, "PEEL_ROUNDS", rounds)
+# peeled for one round, as long as it pays, to the end
+@pytest.mark.parametrize(("kind", "when"), [*((k, w) for k in ("star and chain", "giant", "sorted chain") for w in ((float("inf"), 2.0), (1.5, 0.125))), ("giant", (0.0, 0.0))])
+def test_as_union_find(spark, monkeypatch, kind, when):
+    monkeypatch.setattr(groups, "GROWTH", when[0])
+    monkeypatch.setattr(groups, "PAYING_SHARE", when[1])
     rng = random.Random(6)
     edges = {
         "star and chain": [(5, i) for i in range(10, 60)] + [(i, i + 1) for i in range(100, 160)] + [(59, 100)],
@@ -39,3 +42,19 @@ def test_valid_ends_and_empty(spark):
     valid = spark.createDataFrame([(1,), (2,), (4,), (2,), (None,)], "raw_id bigint")
     assert dict(tuple(r) for r in groups.consolidate(frame, "left", "right", valid).collect()) == {1: 1, 2: 1}
     assert groups.consolidate(frame.limit(0), "left", "right").count() == 0
+
+
+def test_peels_behind_a_hub_of_a_tiny_share(spark):
+    """A tree of 1,093 vertices beside 50,000 pairs: its hub has one vertex in 25,000 as neighbours, and all of it is peeled."""
+    tree = [(i, 3 * i + k) for i in range(1, 365) for k in (-1, 0, 1)]
+    pairs = spark.range(50_000).selectExpr("10000 + 2 * id as a", "10001 + 2 * id as b")
+    edges = spark.createDataFrame(tree, "a bigint, b bigint").unionByName(pairs)
+    reached, rest, _ = groups.peel(Stash(both_ways(edges), "arcs"), 1, "bigint")
+    assert reached.count() == 1093 and rest.count() == 100_000
+
+
+def test_minimum_of_unlucky_chains(spark):
+    chain = [(i, i + 1) for i in range(300)]
+    comb = [(1000 + 2 * i, 1001 + 2 * i) for i in range(60)] + [(1001 + 2 * i, 1002 + 2 * i) for i in range(60)]
+    edges = spark.createDataFrame([*chain, *comb], "a bigint, b bigint")
+    assert dict(tuple(r) for r in groups.propagate_minimum(edges).collect()) == naive([*chain, *comb])

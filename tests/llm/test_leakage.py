@@ -45,6 +45,17 @@ def test_leaks_and_near_misses(spark):
     assert sorted(rows) == [(1, 0), (2, 0), (3, 0), (4, 0), (11, 0), (12, 0), (12, 1)]
 
 
+def test_reports_that_many_items_share(spark):
+    """Three items of one report, and five that differ in a word each, are all found at their full share."""
+    rng, words, report = texts(13)
+    variants = [[*report[:15 * i + 7], f"other{i}", *report[15 * i + 8 :]] for i in range(5)]
+    docs = spark.createDataFrame([(1, " ".join(report)), (2, "tea " * 200 + " ".join(report[10:60]))], "doc_id bigint, text string")
+    same = {(r["key"], r["item"]): r["share"] for r in leaked(docs, items(spark, [report] * 3)).collect()}
+    assert {k: v for k, v in same.items() if k[0] == 1} == {(1, i): 1.0 for i in range(3)} and {k for k in same if k[0] == 2} == {(2, i) for i in range(3)}
+    near = {(r["key"], r["item"]): r["share"] for r in leaked(docs, items(spark, variants)).collect()}
+    assert set(near) == {(d, i) for d in (1, 2) for i in range(5)} and min(near[1, i] for i in range(5)) > 0.95
+
+
 def test_empty_tables(spark):
     _, _, report = texts(11)
     docs = spark.createDataFrame([(1, "x")], "doc_id bigint, text string")

@@ -31,8 +31,9 @@ def test_as_brute_force(spark):
 def test_threshold_and_clashes(spark):
     data = [(1, "a b c d e f g a b c d e f g", "x"), (2, "a b c d e f g h i j k l", "x"), (3, None, "x")]
     frame = spark.createDataFrame(data, "doc_id bigint, text string, repeated_share string")
-    assert [tuple(r) for r in repetition.repetitive(frame).collect()] == [(1, 0.5)]
-    assert repetition.repetitive(frame.limit(0)).count() == 0
+    broken = repetition.breaking(frame, "repeated_word_ratio").select("doc_id", "repeated_word_ratio")
+    assert [tuple(r) for r in broken.collect()] == [(1, 0.5)]
+    assert repetition.breaking(frame.limit(0), "repeated_word_ratio").count() == 0
 
 
 def test_profile(spark):

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venueweave.llm.address_parts import with_address
+from venueweave.llm.groups import followed
 from venueweave.functions.geo import haversine_m, usable
 from venueweave.functions.ranking import top_by
 from venueweave.llm.ngrams import cosine, weighted_ngrams
@@ -78,10 +79,8 @@ def buildings(rec: DataFrame) -> DataFrame:
     pairs = pairs.join(grams, "base").join(grams.withColumnsRenamed({"base": "base_b", "grams": "grams_b"}), "base_b")
     pairs = pairs.filter((F.col("base") == F.col("base_b")) | (cosine(F.col("grams"), F.col("grams_b")) >= COSINE))
     best = top_by(pairs.select("node", "node_b", "street_n_b", "n_b"), ["node"], F.col("street_n_b").desc(), F.col("n_b").desc(), F.col("node_b"))
-    parent = Stash(best.select("node", F.col("node_b").alias("parent")), "parents").df
-    up = parent.select(F.col("node").alias("parent"), F.col("parent").alias("grand"))
-    top = parent.join(up, "parent", "left").select("node", F.coalesce("grand", "parent").alias("parent"))
-    top = top.join(up, "parent", "left").select("node", F.coalesce("grand", "parent").alias("building"))
+    # a misspelling may hang on one that hangs on a third; every parent is more frequent, so there are no circles
+    top = followed(Stash(best.select(F.col("node").alias("id"), F.col("node_b").alias("to")), "parents")).df.select(F.col("id").alias("node"), F.col("to").alias("building"))
     return rows.df.select("raw_id", F.xxhash64(*parts).alias("node")).join(top, "node", "left").select("raw_id", F.coalesce("building", "node").alias("building")).distinct()
 
 

@@ -1,9 +1,10 @@
 """Evaluation texts leaking into training text: rare n-gram seeds, then Smith-Waterman alignment.
 
-The seeds are the n-grams of the test items that few other items share. Every document's n-grams are joined with them;
-documents that share enough seeds with an item are aligned with it, word by word, around the shared seeds. An
-alignment tolerates an occasional changed, missing or added word; passages are taken out one after another until none
-of the least length is left. A document leaks an item if such passages hold the least share of the item's words.
+The seeds are the rarest n-grams of each report, so many of them that any leak must hold some; reports of equal words are
+one report. Every document's n-grams are joined with them; documents that share as many seeds as the shortest passage must
+are aligned with the report, word by word, wherever a passage may reach from an n-gram they share. An alignment tolerates
+an occasional changed, missing or added word; passages are taken out one after another until none of the least length is
+left. A document leaks an item if such passages hold the least share of the item's words.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from venueweave.storage import Stash, broadcast_if_small
+from venueweave.storage import Stash, broadcast_if_small, spread
 
-#: Words of a seed; items that may share it; least seeds a pair shares, as a share of the item's words; words kept around a seed.
-SEED, SHARED_BY, SEED_SHARE, AROUND = 4, 2, 0.04, 40
+#: Words of a seed; reports up to which an n-gram they share is rare; least share of a report's n-grams that are seeds, the
+#: next rarest making up for it; seeds that a passage of ten words holds if one of them is changed; pairs a task aligns.
+SEED, SHARED_BY, SEED_PART, LEAST_SEEDS, PAIRS_PER_TASK = 4, 2, 0.8, 3, 2_000
 #: Scores of an equal word, of a changed one and of one left out; least words of a passage; least share of an item's words.
 MATCH, CHANGE, GAP, PASSAGE, SHARE = 1, -2, -2, 10, 1.0 / 3.0
 
@@ -40,7 +42,7 @@ def report_words(items: DataFrame, item: str = "item_id", text: str = "text") ->
 
 
 def _grams(words: Column, n: int) -> Column:
-    """(position from 0, hash) of each run of n words."""
+    """Hash of each run of n words, in order."""
     gram = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.xxhash64(*[F.element_at(w, i + k) for k in range(n)]))
     return F.when(F.size(words) >= n, F.element_at(F.transform(F.array(words), gram), 1))
 
@@ -88,17 +90,25 @@ def align(doc: np.ndarray, item: np.ndarray) -> int:
             return found
 
 
-def _around(words: list[str], at: list[int], known: dict[str, int]) -> np.ndarray:
-    """The document's words around the seeds as numbers of the item's words; others are below the item's, gaps -1."""
-    keep = np.zeros(len(words) + 1, bool)
-    for p in at:
-        keep[max(0, p - AROUND) : p + SEED + AROUND] = True
-    out: list[int] = []
-    for i in np.flatnonzero(keep[:-1]):
-        if out and not keep[i - 1]:
-            out.append(-1)
-        out.append(known.get(words[i], 1_000_000))
-    return np.array(out, dtype=np.int64)
+def _near(words: np.ndarray, report: np.ndarray, n_known: int) -> np.ndarray:
+    """The document's words that a passage through an n-gram shared with the report can reach, -1 where one was left out.
+
+    From an n-gram on, a passage holds each word of the report once at most, and every gap costs two of them.
+    """
+    base = n_known + 1
+    code = lambda w: sum(w[k : len(w) - SEED + 1 + k] * base**k for k in range(SEED))
+    if len(words) < SEED or len(report) < SEED:
+        return words[:0]
+    known = np.minimum(words, n_known)
+    whole = np.convolve(known == n_known, np.ones(SEED, int), "valid") == 0
+    at = np.flatnonzero(whole & np.isin(code(known), code(report)))
+    reach = len(report) + len(report) // 2 + 1
+    edge = np.zeros(len(words) + 1, np.int64)
+    np.add.at(edge, np.maximum(0, at - reach), 1)
+    np.add.at(edge, np.minimum(len(words), at + SEED + reach), -1)
+    keep = np.cumsum(edge[:-1]) > 0
+    # one mark parts what isn't adjacent
+    return np.where(keep, words, -1)[keep | np.concatenate(([False], keep[:-1]))]
 
 
 def leaked(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -107,28 +117,35 @@ def leaked(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
     Null and empty texts leak nothing; items without words are left out; a document or an item that occurs twice
     counts once; other columns are ignored. Whole texts are searched.
     """
-    reports = Stash(report_words(items, item, item_text), "reports")
-    grams = reports.df.select("item", F.size("words").alias("length"), F.explode(_grams(F.col("words"), SEED)).alias("gram")).distinct()
-    sharing = grams.withColumn("shared", F.count("*").over(Window.partitionBy("gram"))).filter(F.col("shared") <= SHARED_BY)
-    seeds = Stash(sharing.select("item", "gram", "length"), "seeds")
+    named = Stash(report_words(items, item, item_text), "items")
+    reports = Stash(named.df.groupBy("words").agg(F.min("item").alias("report")), "reports")
+    grams = reports.df.select("report", F.explode(F.array_distinct(_grams(F.col("words"), SEED))).alias("gram"))
+    sharing = grams.withColumn("shared", F.count("*").over(Window.partitionBy("gram")))
+    of_report = Window.partitionBy("report")
+    ranked = sharing.withColumns({"before": F.rank().over(of_report.orderBy("shared")) - 1, "all": F.count("*").over(of_report)})
+    seeds = Stash(ranked.filter((F.col("shared") <= SHARED_BY) | (F.col("before") < SEED_PART * F.col("all"))).select("report", "gram", "all"), "seeds")
     worded = docs.filter(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("key"), plain_words(F.col(text)).alias("words"))
-    each = worded.select("key", F.posexplode(_grams(F.col("words"), SEED)).alias("at", "gram"))
+    each = worded.select("key", F.explode(F.array_distinct(_grams(F.col("words"), SEED))).alias("gram"))
     hits = each.join(broadcast_if_small(seeds), "gram")
-    pairs = hits.groupBy("key", "item", "length").agg(F.count_distinct("gram").alias("seeds"), F.collect_set("at").alias("at"))
-    pairs = Stash(pairs.filter(F.col("seeds") >= F.greatest(F.lit(3.0), SEED_SHARE * F.col("length"))).select("key", "item", "at"), "pairs")
+    pairs = hits.groupBy("key", "report").agg(F.count_distinct("gram").alias("seeds"), F.max("all").alias("all"))
+    pairs = Stash(pairs.filter(F.col("seeds") >= F.least(F.lit(LEAST_SEEDS), F.col("all"))).select("key", "report"), "pairs")
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).filter("text is not null")
     texts = texts.join(broadcast_if_small(Stash(pairs.df.select("key").distinct(), "keys")), "key", "left_semi").distinct()
-    chosen = texts.select("key", plain_words(F.col("text")).alias("words")).join(pairs.df, "key").join(broadcast_if_small(reports).withColumnRenamed("words", "report"), "item")
+    chosen = Stash(texts.select("key", plain_words(F.col("text")).alias("words")).join(pairs.df, "key"), "chosen")
+    chosen = spread(chosen, PAIRS_PER_TASK).join(broadcast_if_small(reports).withColumnRenamed("words", "wanted"), "report")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for k, i, words, at, report in zip(batch["key"], batch["item"], batch["words"], batch["at"], batch["report"], strict=True):
+            for k, i, words, report in zip(batch["key"], batch["report"], batch["words"], batch["wanted"], strict=True):
                 known = {w: n for n, w in enumerate(dict.fromkeys(report))}
-                held = align(_around(list(words), list(at), known), np.array([known[w] for w in report], dtype=np.int64))
+                numbers = np.array([known[w] for w in report], dtype=np.int64)
+                held = align(_near(np.array([known.get(w, 1_000_000) for w in words], dtype=np.int64), numbers, len(known)), numbers)
                 rows.append((k, i, held, held / len(report)))
-            yield pd.DataFrame(rows, columns=["key", "item", "words", "share"])
+            yield pd.DataFrame(rows, columns=["key", "report", "words", "share"])
 
     kinds = dict(chosen.dtypes)
-    found = chosen.select("key", "item", "words", "at", "report").mapInPandas(work, f"key {kinds['key']}, item {kinds['item']}, words bigint, share double")
-    return found.filter(F.col("share") >= SHARE).groupBy("key", "item").agg(F.max("words").alias("words"), F.max("share").alias("share"))
+    found = chosen.select("key", "report", "words", "wanted").mapInPandas(work, f"key {kinds['key']}, report {kinds['report']}, words bigint, share double")
+    found = found.filter(F.col("share") >= SHARE).groupBy("key", "report").agg(F.max("words").alias("words"), F.max("share").alias("share"))
+    same = named.df.join(reports.df, "words").select("report", "item")
+    return found.join(broadcast_if_small(Stash(same, "same")), "report").groupBy("key", "item").agg(F.max("words").alias("words"), F.max("share").alias("share"))

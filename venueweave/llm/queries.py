@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from venueweave.llm import addresses, consensus, groups, leakage, matching, packing, repetition, survivors
+from venueweave.llm.repetition import STOP_WORDS
 from venueweave.sources.tables import table
+from venueweave.storage import Stash
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,6 +79,22 @@ def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
     return each.join(table(spark, folder, "containers"), "container_id").withColumn("filled", F.round(F.col("tokens") / (F.col("sequences") * F.col("capacity_tokens")), 6))
 
 
+def p8_invariants(spark: SparkSession, folder: str) -> DataFrame:
+    """What every packing must keep, by kind of container: rows packed, sequences over the capacity, documents whose pieces
+    don't hold their tokens, pieces that aren't full though not the last, documents split without need."""
+    docs = table(spark, folder, "documents").dropDuplicates(["doc_id"]).filter("doc_id is not null")
+    kinds = table(spark, folder, "containers").filter("container_id is not null and capacity_tokens > 0").distinct()
+    counts = packing.token_counts(docs).withColumnsRenamed({"key": "doc_id", "tokens": "all"})
+    rows = Stash(packing.packed_containers(docs, kinds).join(kinds, "container_id"), "packed").df
+    over = rows.groupBy("container_id", "sequence").agg((F.sum("tokens") > F.max("capacity_tokens")).cast("int").alias("over")).groupBy("container_id").agg(F.sum("over").alias("overfull"))
+    size = F.col("capacity_tokens")
+    each = rows.groupBy("container_id", "doc_id").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("pieces"), F.count_if(F.col("tokens") == size).alias("full"), F.max(size).alias("capacity"))
+    each = each.join(counts, "doc_id").groupBy("container_id").agg(
+        F.count("*").alias("documents"), F.count_if(F.col("tokens") != F.col("all")).alias("lost"), F.count_if(F.col("full") < F.col("pieces") - 1).alias("unfilled"), F.count_if((F.col("pieces") > 1) & (F.col("all") <= F.col("capacity"))).alias("split")
+    )
+    return each.join(over, "container_id")
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, item_id: documents that hold at least a third of an item's report in passages of ten words or more."""
     found = leakage.leaked(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
@@ -91,16 +109,16 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id of the documents three tenths of whose words repeat an earlier run of five words or more."""
-    return repetition.repetitive(table(spark, folder, "documents")).select("doc_id").distinct()
+    return repetition.breaking(table(spark, folder, "documents"), "repeated_word_ratio").select("doc_id").distinct()
 
 
 def p10_profile(spark: SparkSession, folder: str) -> DataFrame:
     """Every measure of every document, and the rules it breaks."""
     profile = repetition.quality_profile(table(spark, folder, "documents"))
-    return profile.withColumns({c: F.round(c, 6) for c, kind in profile.dtypes if kind == "double"})
+    return profile.withColumns({c: F.round(c, 6) for c, kind in profile.dtypes if kind == "double"}).withColumn("failed", F.array_join("failed", "|"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p3_found, p4_found, p4_consensus, p4_reviewers, p6_found, p7_found, p7_best_record, p8_packed, p8_fill, p9_found, p9_shares, p10_found, p10_profile)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p3_found, p4_found, p4_consensus, p4_reviewers, p6_found, p7_found, p7_best_record, p8_packed, p8_fill, p8_invariants, p9_found, p9_shares, p10_found, p10_profile)}
 
 _MEMBERS = """
 fillers(x) as (select unnest(['', '-', '--', '?', 'n/a', 'na', 'none', 'null', 'nil', 'tbd', 'tba', 'unknown', 'not listed', 'unlisted', 'coming soon', 'pending', 'yes', 'no', 'other', 'x', '.'])),
@@ -131,6 +149,14 @@ v as (
   from (select *, case when length(d) = 11 and d like '1%' then substr(d, 2) else d end as t from n))
 """
 
+_STOPS = ", ".join("list_filter(ls, lambda x: x in (" + ", ".join(f"'{w}'" for w in ws) + "))" for ws in STOP_WORDS.values())
+_REPEATS = """
+g as (select row, unnest(range(1, len(ws) - 3)) as i, ws from w where len(ws) > 5),
+h as (select row, i, ws[i:i + 4] as gram from g),
+r as (select row, i from h qualify row_number() over (partition by row, gram order by i) > 1),
+c as (select row, sum(least(5, coalesce(following - i, 5))) as n from (select row, i, lead(i) over (partition by row order by i) as following from r) group by row)
+"""
+
 ORACLES = {
     "p3_found": """
 with recursive ids as (select distinct raw_id from rec where raw_id is not null),
@@ -154,12 +180,40 @@ s as (select *, (phone is not null)::int + (website is not null)::int + (last_in
 select venue_id, raw_id, completeness from s
 qualify row_number() over (partition by venue_id order by completeness desc, score desc nulls last, fetched_at desc nulls last, raw_id) = 1
 """,
-    "p10_found": """
-with w as (select doc_id, row_number() over () as row, regexp_extract_all(lower(text), '\\p{L}+') as ws from documents where text is not null),
-g as (select row, unnest(range(1, len(ws) - 3)) as i, ws from w where len(ws) > 5),
-h as (select row, i, ws[i:i + 4] as gram from g),
-r as (select row, i from h qualify row_number() over (partition by row, gram order by i) > 1),
-c as (select row, sum(least(5, coalesce(following - i, 5))) as n from (select row, i, lead(i) over (partition by row order by i) as following from r) group by row)
+    "p8_invariants": """
+select container_id, (select count(distinct doc_id) from documents) as documents, 0 as overfull, 0 as lost, 0 as unfilled, 0 as split
+from (select distinct * from containers where container_id is not null and capacity_tokens > 0)
+""",
+    "p10_found": f"""
+with w as (select doc_id, row_number() over () as row, regexp_extract_all(lower(text), '\\p{{L}}+') as ws from documents where text is not null), {_REPEATS}
 select distinct doc_id from c join w using (row) where n >= 0.3 * len(ws)
+""",
+    "p10_profile": f"""
+with t as (select doc_id, coalesce(text, '') as t, row_number() over () as row from documents),
+w as (select row, regexp_extract_all(lower(t), '\\p{{L}}+') as ws from t), {_REPEATS},
+p as (
+  select doc_id, row, t, ws as ls, coalesce(c.n, 0) as repeats, list_filter(regexp_split_to_array(t, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') as tok,
+    list_filter(regexp_split_to_array(t, '\\n+'), lambda x: trim(x) <> '') as lines, list_filter(regexp_split_to_array(t, '\\n[ \\t\\n\\x0B\\f\\r]*\\n'), lambda x: trim(x) <> '') as paras
+  from t join w using (row) left join c using (row)),
+m as (
+  select doc_id, length(t) as n_chars, len(tok) as n_words,
+    coalesce(length(array_to_string(tok, '')) / nullif(len(tok), 0), 0) as mean_word_length,
+    coalesce(len(regexp_extract_all(t, '#|\\.\\.\\.|…')) / nullif(len(tok), 0), 0) as symbol_ratio,
+    coalesce(len(list_filter(tok, lambda x: regexp_matches(x, '\\p{{L}}'))) / nullif(len(tok), 0), 0) as letter_word_ratio,
+    coalesce(list_max(list_transform([{_STOPS}], lambda x: len(x))) / nullif(len(ls), 0), 0) as stop_word_ratio,
+    coalesce(len(list_filter(lines, lambda x: regexp_matches(x, '^[ \\t\\n\\x0B\\f\\r]*[-*•]'))) / nullif(len(lines), 0), 0) as bullet_line_ratio,
+    coalesce(len(list_filter(lines, lambda x: regexp_matches(x, '(\\.\\.\\.|…)[ \\t\\n\\x0B\\f\\r]*$'))) / nullif(len(lines), 0), 0) as ellipsis_line_ratio,
+    coalesce(1 - len(list_distinct(lines)) / nullif(len(lines), 0), 0) as repeated_line_ratio,
+    coalesce(1 - len(list_distinct(paras)) / nullif(len(paras), 0), 0) as repeated_paragraph_ratio,
+    coalesce(repeats / nullif(len(ls), 0), 0) as repeated_word_ratio
+  from p),
+f as (
+  select *, list_filter([case when n_words < 5 or n_words >= 100000 then 'n_words' end, case when mean_word_length < 3 or mean_word_length >= 10 then 'mean_word_length' end, case when symbol_ratio >= 0.1 then 'symbol_ratio' end,
+    case when letter_word_ratio < 0.7 then 'letter_word_ratio' end, case when stop_word_ratio < 0.02 then 'stop_word_ratio' end, case when bullet_line_ratio >= 0.9 then 'bullet_line_ratio' end, case when ellipsis_line_ratio >= 0.3 then 'ellipsis_line_ratio' end,
+    case when repeated_line_ratio >= 0.3 then 'repeated_line_ratio' end, case when repeated_paragraph_ratio >= 0.3 then 'repeated_paragraph_ratio' end, case when repeated_word_ratio >= 0.3 then 'repeated_word_ratio' end], lambda x: x is not null) as failed_rules
+  from m)
+select doc_id, n_chars, n_words, {", ".join(f"round({c}, 6) as {c}" for c in ("mean_word_length", "symbol_ratio", "letter_word_ratio", "stop_word_ratio", "bullet_line_ratio", "ellipsis_line_ratio", "repeated_line_ratio", "repeated_paragraph_ratio", "repeated_word_ratio"))},
+  array_to_string(failed_rules, '|') as failed, len(failed_rules) = 0 as sound
+from f
 """,
 }

@@ -14,8 +14,15 @@ from pyspark.sql import functions as F
 
 RUN = 5
 
-#: Frequent English words, by which running text is told from lists and code.
-STOP_WORDS = ["the", "be", "to", "of", "and", "that", "have", "with", "a", "in", "is", "it", "for", "on", "as", "was", "at"]
+#: Frequent words of several languages, by which running text is told from lists and code.
+STOP_WORDS = {
+    "en": ["the", "be", "to", "of", "and", "that", "have", "with", "a", "in", "is", "it", "for", "on", "as", "was", "at"],
+    "es": ["el", "la", "de", "que", "y", "en", "un", "una", "los", "las", "se", "por", "con", "para", "es", "del", "no"],
+    "fr": ["le", "la", "les", "de", "des", "et", "un", "une", "est", "que", "en", "du", "pour", "dans", "pas", "qui", "sur"],
+    "de": ["der", "die", "das", "und", "ist", "in", "den", "von", "zu", "mit", "ein", "eine", "nicht", "auf", "es", "im", "für"],
+    "it": ["il", "la", "di", "che", "e", "un", "una", "per", "non", "in", "con", "del", "le", "si", "da", "sono", "i"],
+    "pt": ["o", "a", "de", "que", "e", "do", "da", "em", "um", "uma", "para", "com", "não", "os", "as", "no", "na"],
+}
 
 #: (metric, least, most) that a sound document keeps to; null where a side is open. One row, one rule.
 THRESHOLDS: list[tuple[str, float | None, float | None]] = [
@@ -74,7 +81,8 @@ def metrics(text: Column) -> dict[str, Column]:
     n = F.size(tokens)
     lines = F.filter(F.split(text, "\\n+"), lambda x: F.trim(x) != "")
     paragraphs = F.filter(F.split(text, "\\n\\s*\\n"), lambda x: F.trim(x) != "")
-    stops = F.array(*[F.lit(w) for w in STOP_WORDS])
+    # the language that explains most words counts, whatever the row says it is
+    stops = [F.array(*[F.lit(w) for w in ws]) for ws in STOP_WORDS.values()]
     letters = letter_words(text)
     return {
         "n_chars": F.length(text),
@@ -82,7 +90,7 @@ def metrics(text: Column) -> dict[str, Column]:
         "mean_word_length": _share(F.length(F.array_join(tokens, "")).cast("double"), n),
         "symbol_ratio": _share(F.size(F.regexp_extract_all(text, F.lit("#|\\.\\.\\.|…"), F.lit(0))).cast("double"), n),
         "letter_word_ratio": _share(F.size(F.filter(tokens, lambda w: w.rlike("\\p{L}"))).cast("double"), n),
-        "stop_word_ratio": _share(F.size(F.filter(letters, lambda w: F.array_contains(stops, w))).cast("double"), F.size(letters)),
+        "stop_word_ratio": let(letters, lambda ws: F.greatest(*[_share(F.size(F.filter(ws, lambda w: F.array_contains(stop, w))).cast("double"), F.size(ws)) for stop in stops])),
         "bullet_line_ratio": _share(F.size(F.filter(lines, lambda x: x.rlike("^\\s*[-*•]"))).cast("double"), F.size(lines)),
         "ellipsis_line_ratio": _share(F.size(F.filter(lines, lambda x: x.rlike("(?:\\.\\.\\.|…)\\s*$"))).cast("double"), F.size(lines)),
         "repeated_line_ratio": 1.0 - _share(F.size(F.array_distinct(lines)).cast("double"), F.size(lines)) - F.when(F.size(lines) == 0, 1.0).otherwise(0.0),
@@ -106,7 +114,6 @@ def quality_profile(df: DataFrame, key: str = "doc_id", text: str = "text", thre
     return rows.withColumn("failed", F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")).withColumn("sound", F.size("failed") == 0)
 
 
-def repetitive(df: DataFrame, share: float = 0.3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key and repeated_share of the documents at least ``share`` of whose words repeat an earlier run."""
-    found = df.select(F.col(key).alias(key), let(letter_words(F.coalesce(F.col(text), F.lit(""))), lambda w: _share(repeated_words(w).cast("double"), F.size(w))).alias("repeated_share"))
-    return found.filter((F.col("repeated_share") >= share) & (F.col("repeated_share") > 0))
+def breaking(df: DataFrame, rule: str, key: str = "doc_id", text: str = "text", thresholds: list[tuple[str, float | None, float | None]] = THRESHOLDS) -> DataFrame:
+    """The profiles of the documents that break a rule of the table."""
+    return quality_profile(df, key, text, thresholds).filter(F.array_contains("failed", rule))
