@@ -1,10 +1,10 @@
 import pytest
 
 from tests.oracles import SMALL, compare
-from venueweave.plans import problems, reference
+from venueweave.plans import catalogue, collected, problems, reference
 
-QUERIES = problems.QUERIES | reference.QUERIES
-ORACLES = problems.ORACLES | reference.ORACLES
+QUERIES = problems.QUERIES | reference.QUERIES | collected.QUERIES | catalogue.QUERIES
+ORACLES = problems.ORACLES | reference.ORACLES | collected.ORACLES | catalogue.ORACLES
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -16,7 +16,7 @@ def test_each_file_is_read_once(spark, tmp_path):
 
 def test_windows_and_unchanged_rows(spark, tmp_path):
     at = dt.datetime(2026, 1, 1, 10)
-    data = [(1, "x", at), (1, "x", at + dt.timedelta(minutes=5)), (1, "y", at + dt.timedelta(minutes=6)), (2, "x", at + dt.timedelta(minutes=61))]
+    data = [(1, "x", at), (1, "x", at + dt.timedelta(minutes=5)), (1, "y", at + dt.timedelta(minutes=6)), (1, "x", at + dt.timedelta(minutes=7)), (2, "x", at + dt.timedelta(minutes=61))]
     spark.createDataFrame(data, "id bigint, hash string, ts timestamp").coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = lambda: spark.readStream.schema("id bigint, hash string, ts timestamp").parquet(str(tmp_path / "in"))
 
@@ -25,6 +25,6 @@ def test_windows_and_unchanged_rows(spark, tmp_path):
         return sorted(tuple(r) for r in spark.table(name).collect())
 
     kept = run(incremental.changed_rows(stream(), "id", "hash", "ts").select("id", "hash"), "kept", "append")
-    assert kept == [(1, "x"), (1, "y"), (2, "x")]
+    assert kept == [(1, "x"), (1, "x"), (1, "y"), (2, "x")]
     counts = run(incremental.windowed_counts(stream(), "ts", "hash").select("hash", "n"), "counts", "complete")
-    assert counts == [("x", 1), ("x", 2), ("y", 1)]
+    assert counts == [("x", 1), ("x", 3), ("y", 1)]

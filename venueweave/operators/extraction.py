@@ -16,6 +16,7 @@ VIBES = [
     "casual", "upscale", "romantic", "lively", "cozy", "divey", "trendy", "classic", "family-friendly", "tourist-heavy", "locals", "quiet", "loud",
     "intimate", "spacious", "rustic", "modern", "kitschy", "no-frills", "late-night", "outdoor-seating", "counter-service", "old-school", "scene-y", "hidden-gem",
 ]
+LEVELS = {"noise_level": ["quiet", "moderate", "loud"], "crowd_level": ["empty", "comfortable", "busy", "packed"], "sentiment": ["positive", "mixed", "negative", "neutral"]}
 GROUNDED = ["vibe_tags", "noise_level", "crowd_level", "best_time", "recurring_events", "good_for"]
 LISTS = ["vibe_tags", "recurring_events", "good_for"]
 INSIGHT = (
@@ -24,6 +25,17 @@ INSIGHT = (
 )
 
 
+def checked(df: DataFrame) -> DataFrame:
+    """A provider's output held to the vocabulary: unknown tags are left out, a level that isn't one becomes null, a
+    confidence outside 0 to 1 too, evidence without field or quote is left out; ``violations`` names the fields changed."""
+    tags = F.filter(F.array_distinct("vibe_tags"), lambda t: t.isin(VIBES))
+    evidence = F.filter("evidence", lambda e: e["field"].isNotNull() & e["quote"].isNotNull())
+    levels = {c: F.when(F.col(c).isin(known), F.col(c)) for c, known in LEVELS.items()}
+    held = {"vibe_tags": tags, **levels, "evidence": evidence, "confidence": F.when(F.col("confidence").between(0, 1), F.col("confidence"))}
+    changed = F.array_compact(F.array(*[F.when(~v.eqNullSafe(F.col(c)), F.lit(c)) for c, v in held.items()]))
+    return df.withColumn("violations", changed).withColumns(held)
+
+
 def work_list(reviews: DataFrame, insights: DataFrame, model: str, version: str) -> DataFrame:
     """Reviews (id, text, content_hash) without a current result of this model and version, or whose text has changed."""
     done = insights.filter((F.col("model") == model) & (F.col("prompt_version") == version)).select(F.col("raw_review_id").alias("id"), F.col("content_hash").alias("_hash"), F.lit(True).alias("_done"))

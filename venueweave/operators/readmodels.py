@@ -17,6 +17,11 @@ STAGES = ["discover", "dedupe", "collect_reviews", "collect_text", "match_review
 TOP_TAGS, EVIDENCE = 5, 6
 
 
+def live(venues: DataFrame) -> DataFrame:
+    """Venues that aren't retired; all of a table that keeps no retirement."""
+    return venues.filter("retired_at is null") if "retired_at" in venues.columns else venues
+
+
 def adopted_insights(insights: DataFrame, reviews: DataFrame, versions: DataFrame | None = None) -> DataFrame:
     """Insights on venues under an adopted version, with the source of their review."""
     rows = insights.filter("venue_id is not null")
@@ -59,7 +64,7 @@ def venue_profiles(venues: DataFrame, ins: DataFrame) -> DataFrame:
         F.round(F.avg(sentiment_value(F.col("sentiment"))).cast("decimal(20,10)"), 2).cast("double").alias("sentiment_score"),
         F.round(F.avg(F.col("confidence").cast("double")).cast("decimal(20,10)"), 2).cast("double").alias("mean_confidence"),
     )
-    out = venues.join(totals, "venue_id").join(ranked_tags(ins), "venue_id", "left")
+    out = live(venues).join(totals, "venue_id").join(ranked_tags(ins), "venue_id", "left")
     for column in ("recurring_events", "good_for"):
         out = out.join(distinct_items(ins, column), "venue_id", "left")
     out = out.join(first_evidence(ins), "venue_id", "left")
@@ -68,7 +73,7 @@ def venue_profiles(venues: DataFrame, ins: DataFrame) -> DataFrame:
 
 def venue_map(venues: DataFrame, neighborhoods: DataFrame, insights: DataFrame, reviewed: DataFrame | None = None) -> DataFrame:
     """Live venues with a place: neighbourhood (of the first review by source that has one, else of the zip), has_insights."""
-    out = venues.filter("lat is not null").join(neighborhoods.groupBy("zip").agg(F.min("neighborhood").alias("zip_neighborhood")), "zip", "left")
+    out = live(venues).filter("lat is not null").join(neighborhoods.groupBy("zip").agg(F.min("neighborhood").alias("zip_neighborhood")), "zip", "left")
     if reviewed is not None:
         near = reviewed.filter("neighborhood is not null").groupBy("venue_id").agg(F.min_by("neighborhood", F.struct("source", "doc_id")).alias("own"))
         out = out.join(near, "venue_id", "left").withColumn("neighborhood", F.coalesce("own", "zip_neighborhood")).drop("own")
@@ -121,6 +126,39 @@ def pipeline_status(spark: SparkSession, runs: DataFrame, progress: DataFrame, n
     return out.select("stage", F.col("id").alias("run_id"), F.coalesce("status", F.lit("never")).alias("status"), "started_at", F.coalesce("units_done", F.lit(0)).alias("units_done"), "last_unit_at", F.coalesce(running, F.lit(False)).alias("is_running"), F.coalesce("runs", F.lit(0)).alias("runs"))
 
 
+def sentiment_label(score: Column) -> Column:
+    return F.when(score.isNull(), "-").when(score > 0.33, "positive").when(score < -0.33, "negative").otherwise("mixed")
+
+
+def stage_mark(status: Column, running: Column) -> Column:
+    return F.when(F.coalesce(status, F.lit("never")) == "never", "[ ]").when(running, "[~]").when(status == "succeeded", "[x]").otherwise("[!]")
+
+
+def percent_done(done: Column, total: Column) -> Column:
+    """Whole per cent, 100 at most; null without a total."""
+    return F.when((total > 0) & done.isNotNull(), F.least(F.lit(100), F.floor(done / total * 100 + 0.5))).cast("int")
+
+
+def map_features(places: DataFrame, hits: DataFrame | None = None, selected: int | None = None) -> DataFrame:
+    """(venue_id, feature): a GeoJSON point of each place (of ``venue_map``), with flags 0 or 1 for insights, a search hit
+    (``hits``: venue_id) and the selected venue."""
+    flagged = places.withColumn("hit", F.lit(0)) if hits is None else places.join(hits.select("venue_id", F.lit(1).alias("hit")).distinct(), "venue_id", "left")
+    flag = lambda c: F.coalesce(c.cast("int"), F.lit(0))
+    shown = F.struct(F.col("venue_id").alias("id"), "name", flag(F.col("has_insights")).alias("insight"), flag(F.col("hit")).alias("hit"), flag(F.col("venue_id") == F.lit(selected)).alias("sel"))
+    point = F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates"))
+    return flagged.select("venue_id", F.to_json(F.struct(F.lit("Feature").alias("type"), F.col("venue_id").alias("id"), point.alias("geometry"), shown.alias("properties"))).alias("feature"))
+
+
+def evidence_totals(grounded: DataFrame) -> DataFrame:
+    """One row over grounded insights: their number, the share whose quotes all stand in the text, mean confidence, fields dropped."""
+    return grounded.agg(
+        F.count("*").alias("insights"),
+        F.round(F.avg(F.col("evidence_verbatim").cast("int")), 3).alias("evidence_verbatim_rate"),
+        F.round(F.avg(F.col("confidence").cast("double")), 3).alias("mean_confidence"),
+        F.coalesce(F.sum(F.size("dropped_fields")), F.lit(0)).alias("fields_dropped"),
+    )
+
+
 def scorecard(insights: DataFrame, verdicts: DataFrame) -> DataFrame:
     """(part, name, n): insights, verdict counts by verdict and reviewer, field-verdict counts."""
     rows = latest_verdicts(verdicts)
@@ -129,6 +167,7 @@ def scorecard(insights: DataFrame, verdicts: DataFrame) -> DataFrame:
         rows.groupBy("verdict").agg(F.count("*").alias("n")).select(F.lit("verdict").alias("part"), F.col("verdict").alias("name"), "n"),
         rows.groupBy("reviewer").agg(F.count("*").alias("n")).select(F.lit("reviewer").alias("part"), F.col("reviewer").alias("name"), "n"),
         rows.select(F.explode("field_verdicts").alias("f", "v")).groupBy("f", "v").agg(F.count("*").alias("n")).select(F.lit("field").alias("part"), F.concat_ws("=", "f", "v").alias("name"), "n"),
+        rows.groupBy("reviewer", "verdict").agg(F.count("*").alias("n")).select(F.lit("reviewer verdict").alias("part"), F.concat_ws("=", "reviewer", "verdict").alias("name"), "n"),
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -156,6 +195,11 @@ def search(profiles: DataFrame, vibes: list[str] = (), category: str | None = No
     return profiles.orderBy(F.col("review_count").desc(), F.coalesce("mean_confidence", F.lit(0.0)).desc(), "venue_id").limit(k)
 
 
+def with_neighborhood(profiles: DataFrame, places: DataFrame) -> DataFrame:
+    """Profiles with the neighbourhood the map shows for them (of ``venue_map``), null where it shows none."""
+    return profiles.join(places.select("venue_id", "neighborhood"), "venue_id", "left")
+
+
 def facet_values(profiles: DataFrame, column: str = "good_for", n: int = 12) -> DataFrame:
     """The most frequent values of a list facet."""
     return profiles.select(F.explode(column).alias("value")).groupBy("value").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "value").limit(n)

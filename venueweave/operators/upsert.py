@@ -58,3 +58,24 @@ def retire_absent(old: DataFrame, new: DataFrame, key: list[str], now: Column) -
     live = new.withColumn("retired_at", F.lit(None).cast("timestamp_ntz"))
     gone = old.join(new.select(*key), key, "left_anti").withColumn("retired_at", F.coalesce("retired_at", now))
     return live.unionByName(gone, allowMissingColumns=True)
+
+
+def update_columns(old: DataFrame, new: DataFrame, key: list[str], columns: list[str], content: str = "content_hash") -> DataFrame:
+    """The next snapshot: of a stored row whose content differs only ``columns`` and the content are taken from the new one;
+    rows without a stored one are inserted whole; all else stays."""
+    joined = _pair(old, new, key)
+    differs = F.col("_new").isNotNull() & ~F.col(f"_old.{content}").eqNullSafe(F.col(f"_new.{content}"))
+    taken = lambda c: F.when(F.col("_old").isNull(), F.col(f"_new.{c}")).when(differs, F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}"))
+    kept = lambda c: F.when(F.col("_old").isNull(), F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}"))
+    return joined.select(*key, *[(taken(c) if c in (*columns, content) else kept(c)).alias(c) for c in old.columns if c not in key])
+
+
+def append_run(df: DataFrame, folder: str, run: str) -> None:
+    """Appends the rows of a run to a table partitioned by ``run_id``; writing a run again replaces it, so that a repeated
+    run doesn't leave its rows twice."""
+    df.withColumn("run_id", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(folder)
+
+
+def rebuild(df: DataFrame, folder: str) -> None:
+    """Replaces a table by rows that don't come from it."""
+    df.write.mode("overwrite").parquet(folder)

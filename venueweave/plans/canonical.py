@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from venueweave.functions.text import street_split
 from venueweave.operators.blocking import best_match, cross_candidates, decide, entities, fold_clusters, same_source_duplicates
 from venueweave.operators.components import components
 from venueweave.operators.ledger import Run, expire
+from venueweave.operators.readmodels import live
+from venueweave.operators.upsert import append_run, rebuild, retire_absent
 from venueweave.storage import Stash
 
 
@@ -25,9 +28,31 @@ def canonical_venues(rec: DataFrame, inspections: str = "dohmh", base: str = "os
     return fold_clusters(rec, clusters), decisions
 
 
-def link_reviews(reviews: DataFrame, venues: DataFrame) -> DataFrame:
-    """Review-like records (in the entity table's shape) linked to their best venue record."""
-    return best_match(Stash(entities(reviews), "entities").df, Stash(entities(venues), "entities").df)
+def with_split_address(reviews: DataFrame) -> DataFrame:
+    """House number and street out of a one-line address, where no house number is stated."""
+    number, street = street_split("street")
+    bare = F.coalesce("housenumber", F.lit("")) == ""
+    return reviews.withColumns({"housenumber": F.when(bare, number).otherwise(F.col("housenumber")), "street": F.when(bare, street).otherwise(F.col("street"))})
+
+
+def link_reviews(reviews: DataFrame, venues: DataFrame, region: DataFrame | None = None) -> DataFrame:
+    """Review-like records (in the entity table's shape) linked to their best live venue record; those outside ``region``
+    are told so."""
+    return best_match(Stash(entities(with_split_address(reviews)), "entities").df, Stash(entities(live(venues)), "entities").df, region)
+
+
+def save_canonical(venues: DataFrame, decisions: DataFrame, members: DataFrame, folder: str, run: str, now: Column) -> None:
+    """The write half: candidates appended under the run's id, memberships rebuilt, venues merged into the stored snapshot
+    (new and changed ones live, those no longer built retired), written beside it and swapped in."""
+    append_run(decisions, f"{folder}/match_candidates", run)
+    rebuild(members, f"{folder}/venue_sources")
+    spark, target = venues.sparkSession, f"{folder}/venues"
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stored = spark.read.parquet(target) if system.exists(path(target)) else venues.withColumn("retired_at", F.lit(None).cast("timestamp_ntz")).limit(0)
+    retire_absent(stored, venues, ["key"], now).write.mode("overwrite").parquet(f"{target}.next")
+    system.delete(path(target), True)
+    system.rename(path(f"{target}.next"), path(target))
 
 
 def nightly(run: Run, progress: DataFrame, stages: dict[str, Callable[[], None]], now, force: bool = False) -> DataFrame:

@@ -12,8 +12,8 @@ from venueweave.functions.strings import similarity_columns
 from venueweave.functions.text import fold_ascii, norm_housenumber, norm_name, norm_phone, norm_quote, norm_street, norm_zip, street_split, title_case
 from venueweave.operators import blocking, extraction, ledger, readmodels, upsert
 from venueweave.operators.components import components
-from venueweave.operators.spatial import inside_regions
 from venueweave.plans import canonical
+from venueweave.sources import tables
 from venueweave.sources.tables import table
 from venueweave.storage import Stash
 
@@ -188,9 +188,22 @@ def name_ratios(spark, folder):
     return both.select("x", "y", F.round(of["ratio"]("x", "y"), 6).alias("ratio"), F.round(of["token_sort"]("x", "y"), 6).alias("token_sort"))
 
 
-@query()
+_RATIO = "(case when length({x}) + length({y}) = 0 then 100.0 else 200.0 * " + _LCS + " / (length({x}) + length({y})) end)"
+
+
+@query(
+    f"""with n as (select distinct raw_id, {_NORM_NAME} as nn from rec where name is not null),
+p as (select distinct x.nn as x, y.nn as y from match_candidates m join n x on x.raw_id = m.left_raw_id join n y on y.raw_id = m.right_raw_id where x.nn <> '' and y.nn <> ''),
+w as (select x, y, list_distinct(string_split(x, ' ')) as a, list_distinct(string_split(y, ' ')) as b, array_to_string(list_sort(string_split(x, ' ')), ' ') as sx, array_to_string(list_sort(string_split(y, ' ')), ' ') as sy from p),
+s as (
+  select *, array_to_string(list_sort(list_intersect(a, b)), ' ') as i, array_to_string(list_sort(list_filter(a, lambda v: not list_contains(b, v))), ' ') as l, array_to_string(list_sort(list_filter(b, lambda v: not list_contains(a, v))), ' ') as r from w),
+t as (select *, trim(i || ' ' || l) as il, trim(i || ' ' || r) as ir from s),
+q as (
+  select x, y, sx, sy, case when i <> '' and (l = '' or r = '') then 100.0 when i = '' then {_RATIO.format(x="il", y="ir")} else greatest({_RATIO.format(x="il", y="ir")}, {_RATIO.format(x="i", y="il")}, {_RATIO.format(x="i", y="ir")}) end as token_set from t)
+select x, y, round(token_set, 6) as token_set, round(greatest({_RATIO.format(x="x", y="y")}, (token_set + {_RATIO.format(x="sx", y="sy")}) / 2) / 100.0, 6) as name_sim from q"""
+)
 def name_similarity(spark, folder):
-    """The blended similarity and its token-set part, over the same pairs; tested against published pairs."""
+    """The blended similarity and its token-set part, over the same pairs."""
     pairs = name_ratios(spark, folder).select("x", "y")
     of = similarity_columns()
     return pairs.select("x", "y", F.round(of["token_set"]("x", "y"), 6).alias("token_set"), F.round(of["name_sim"]("x", "y"), 6).alias("name_sim"))
@@ -224,7 +237,7 @@ def block_probe(spark, folder):
 
 @query()
 def same_source_pairs(spark, folder):
-    """Duplicates within a source; the similarity is beyond SQL on all pairs, tested against a plain loop."""
+    """Duplicates within a source; the similarity of all pairs is beyond SQL, so this is tested against brute force."""
     return blocking.same_source_duplicates(_entities(spark, folder)).select("left_id", "right_id", "name_sim")
 
 
@@ -267,18 +280,6 @@ def best_venue(spark, folder):
     return canonical.link_reviews(rec.filter("source = 'dohmh'"), rec.filter("source = 'osm'"))
 
 
-@query(
-    f"""with p as (select distinct raw_id, lat, lon from rec where {_USABLE}),
-g as (select name, from_json(geojson->'$.coordinates', '[[["DOUBLE"]]]') as rings from boundaries where geojson->>'$.type' = 'Polygon' and name like '% Heights'),
-ring as (select name, unnest(rings) as ring from g),
-edge as (select name, ring[i][1] as x1, ring[i][2] as y1, ring[case when i = len(ring) then 1 else i + 1 end][1] as x2, ring[case when i = len(ring) then 1 else i + 1 end][2] as y2 from (select name, ring, unnest(range(1, len(ring) + 1)) as i from ring))
-select raw_id, name as region from (select raw_id, name, count(*) as n from p join edge on (y1 > lat) <> (y2 > lat) and lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1 group by all) where n % 2 = 1"""
-)
-def inside_heights(spark, folder):
-    regions = table(spark, folder, "boundaries").filter("name like '% Heights' and get_json_object(geojson, '$.type') = 'Polygon'")
-    return inside_regions(_rec(spark, folder), regions).select(F.col("id").alias("raw_id"), "region")
-
-
 # ------------------------------------------------------------------------------------------------ read models
 
 
@@ -381,7 +382,7 @@ def stage_status(spark, folder):
 
 @query(
     "select (select count(*) from rec) as raw_venues, (select count(distinct venue_id) from venue_sources) as venues, (select count(*) from documents) as raw_reviews, (select count(*) from documents where source like 'guide/%') as raw_reviews_guide, "
-    "(select count(*) from match_candidates where decision = 'matched') as matched, (select count(*) from insights) as insights, (select count(*) from extraction_reviews) as verdicts"
+    "(select count(*) from match_candidates where decision = 'matched') as matched, (select count(*) from insights) as insights, (select count(*) from extraction_reviews) as verdicts, (select count(*) from orders) as claims_scored, (select count(*) from events where event_type like 'click%') as guide_units"
 )
 def table_counts(spark, folder):
     t = lambda name: table(spark, folder, name)
@@ -392,6 +393,8 @@ def table_counts(spark, folder):
         t("match_candidates").agg(F.count_if(F.col("decision") == "matched").alias("matched")),
         t("insights").agg(F.count("*").alias("insights")),
         t("extraction_reviews").agg(F.count("*").alias("verdicts")),
+        t("orders").agg(F.count("*").alias("claims_scored")),  # orders and events stand for the stores of other stages
+        t("events").agg(F.count_if(F.col("event_type").startswith("click")).alias("guide_units")),
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -401,7 +404,7 @@ def table_counts(spark, folder):
 
 @query(
     f"with l as {_LATEST} select 'insights' as part, 'all' as name, count(*) as n from insights union all select 'verdict', verdict, count(*) from l group by verdict union all select 'reviewer', reviewer, count(*) from l group by reviewer "
-    "union all select 'field', f || '=' || v, count(*) from (select unnest(map_entries(field_verdicts)).key as f, unnest(map_entries(field_verdicts)).value as v from l) group by f, v"
+    "union all select 'field', f || '=' || v, count(*) from (select unnest(map_entries(field_verdicts)).key as f, unnest(map_entries(field_verdicts)).value as v from l) group by f, v union all select 'reviewer verdict', case when verdict is null then reviewer else reviewer || '=' || verdict end, count(*) from l group by reviewer, verdict"
 )
 def scorecard(spark, folder):
     return readmodels.scorecard(table(spark, folder, "insights"), table(spark, folder, "extraction_reviews"))
@@ -413,10 +416,15 @@ def reviewer_stats(spark, folder):
     return rows.groupBy("reviewer").agg(F.count("*").alias("reviewed"), *[F.count_if(F.col("verdict") == v).alias(v) for v in ("correct", "partial", "wrong")])
 
 
-@query()
+@query("select 20 as n, 20 as different, 0 as reviewed, true as repeatable")
 def unreviewed_sample(spark, folder):
-    """A seeded sample of unreviewed insights."""
-    return readmodels.review_sample(table(spark, folder, "insights"), table(spark, folder, "extraction_reviews"), 20, 7).select("id", "raw_review_id")
+    """A seeded sample of what one reviewer hasn't judged: its size, and that it is as a sample must be."""
+    mine = table(spark, folder, "extraction_reviews").filter("reviewer = 'rev_megebick'")
+    draw = lambda: readmodels.review_sample(table(spark, folder, "insights").dropDuplicates(["id"]), mine, 20, 7).select("id")
+    sample, again = Stash(draw(), "sample").df, draw().withColumn("again", F.lit(True))
+    judged = mine.select(F.col("insight_id").alias("id"), F.lit(True).alias("judged")).distinct()
+    out = sample.join(judged, "id", "left").join(again, "id", "left")
+    return out.agg(F.count("*").alias("n"), F.count_distinct("id").alias("different"), F.count("judged").alias("reviewed"), F.bool_and(F.coalesce("again", F.lit(False))).alias("repeatable"))
 
 
 _SEARCH = f"""with {_VENUES}, {_INS},
@@ -446,11 +454,15 @@ def distinct_neighborhoods(spark, folder):
     return table(spark, folder, "zip_neighborhoods").filter("neighborhood is not null").select("neighborhood").distinct().orderBy("neighborhood")
 
 
-@query(f"with {_VENUES} select venue_id, '{{\"type\":\"Feature\",\"geometry\":{{\"type\":\"Point\"}},\"has\":' || case when venue_id in (select venue_id from insights where venue_id is not null) then '1' else '0' end || '}}' as feature from venues where lat is not null")
+@query(f"with {_VENUES}, w as (select * from venues where lat is not null) select venue_id, 'Point' as kind, lon, lat, name, cast(venue_id in (select venue_id from insights where venue_id is not null) as int) as insight, cast(category = 'bar' as int) as hit, cast(venue_id = (select min(venue_id) from w) as int) as sel from w")
 def map_features(spark, folder):
-    out = readmodels.venue_map(_venues(spark, folder), table(spark, folder, "zip_neighborhoods"), table(spark, folder, "insights"))
-    feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.lit("Point").alias("type")).alias("geometry"), F.col("has_insights").cast("int").alias("has"))
-    return out.select("venue_id", F.to_json(feature).alias("feature"))
+    """Features of the map, read back from their JSON; bars are the hits, the first venue is the one selected."""
+    places = readmodels.venue_map(_venues(spark, folder), table(spark, folder, "zip_neighborhoods"), table(spark, folder, "insights"))
+    places = Stash(places, "places").df
+    found = readmodels.map_features(places, places.filter("category = 'bar'"), places.agg(F.min("venue_id")).first()[0])
+    shape = "type string, id bigint, geometry struct<type: string, coordinates: array<double>>, properties struct<id: bigint, name: string, insight: int, hit: int, sel: int>"
+    read = found.select("venue_id", F.from_json("feature", shape).alias("f"))
+    return read.select("venue_id", F.col("f.geometry.type").alias("kind"), F.col("f.geometry.coordinates")[0].alias("lon"), F.col("f.geometry.coordinates")[1].alias("lat"), *[F.col(f"f.properties.{c}").alias(c) for c in ("name", "insight", "hit", "sel")])
 
 
 @query("select id, case when sentiment = 'positive' then 'good' when sentiment = 'negative' then 'bad' when sentiment is null then '-' else 'mixed' end as label, least(100, round(cast(confidence as double) * 100)) as percent, coalesce(best_time, noise_level, '-') as tip from insights")
@@ -486,15 +498,16 @@ def exists_flag(spark, folder):
     return table(spark, folder, "customer").select("c_custkey").join(urgent, "c_custkey", "left").withColumn("urgent", F.coalesce("urgent", F.lit(False)))
 
 
-@query("select id, venue_id from insights where prompt_version in (select version from (values ('v2', true), ('v3', true), ('v4', false)) v(version, adopted) where adopted)")
+@query("select id, venue_id from insights where prompt_version in (select version from (values ('v1', false), ('v2', true), ('v3', true), ('v4', false), ('v5', false)) v(version, adopted) where adopted)")
 def adopted_only(spark, folder):
-    versions = spark.createDataFrame([("v2", True), ("v3", True), ("v4", False)], "prompt_version string, adopted boolean").filter("adopted")
+    versions = tables.prompt_versions(spark).filter("adopted").select(F.col("version").alias("prompt_version"))
     return table(spark, folder, "insights").join(versions, "prompt_version", "left_semi").select("id", "venue_id")
 
 
-@query("select id from insights i where not exists (select 1 from extraction_reviews e where e.insight_id = i.id)")
+@query("select id from insights i where not exists (select 1 from extraction_reviews e where e.insight_id = i.id and e.reviewer = 'rev_megebick')")
 def never_reviewed(spark, folder):
-    done = table(spark, folder, "extraction_reviews").select(F.col("insight_id").alias("id"))
+    """Insights that one reviewer hasn't judged."""
+    done = table(spark, folder, "extraction_reviews").filter("reviewer = 'rev_megebick'").select(F.col("insight_id").alias("id"))
     return table(spark, folder, "insights").join(done, "id", "left_anti").select("id")
 
 
@@ -634,12 +647,12 @@ def expired_units(spark, folder):
     return ledger.expire(progress, F.lit("2024-02-01").cast("timestamp_ntz"), {"click": 7, "view": 14}).select("event_id")
 
 
-@query("select d.doc_id as id from (select distinct on (doc_id) doc_id, text from documents) d left join (select distinct raw_review_id from insights where model = 'local:mini-3b' and prompt_version = 'v3') i on i.raw_review_id = d.doc_id where i.raw_review_id is null")
+@query("select d.doc_id as id from (select distinct doc_id from documents) d left join (select distinct raw_review_id from insights where model = 'local:mini-3b' and prompt_version = 'v3') i on i.raw_review_id = d.doc_id where i.raw_review_id is null or d.doc_id % 3 = 0")
 def extraction_work(spark, folder):
-    """Texts without a current result of one model and version."""
+    """Texts without a result of one model and version, and those that have changed since: every third has."""
     docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"]).withColumn("content_hash", F.sha2(F.coalesce("text", F.lit("")), 256))
-    current = docs.select(F.col("id").alias("raw_review_id"), "content_hash")
-    insights = table(spark, folder, "insights").join(current, "raw_review_id").dropDuplicates(["raw_review_id", "model", "prompt_version"])
+    then = docs.select(F.col("id").alias("raw_review_id"), F.when(F.col("id") % 3 == 0, F.sha2(F.lit("as it was"), 256)).otherwise(F.col("content_hash")).alias("content_hash"))
+    insights = table(spark, folder, "insights").join(then, "raw_review_id").dropDuplicates(["raw_review_id", "model", "prompt_version"])
     return extraction.work_list(docs, insights, "local:mini-3b", "v3").select("id")
 
 

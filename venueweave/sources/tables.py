@@ -30,3 +30,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     if name in SCHEMAS:
         reader = reader.schema(SCHEMAS[name])
     return reader.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+def prompt_versions(spark: SparkSession) -> DataFrame:
+    """Seed of the versions of the extraction prompt (fixed values): v2 and v3 are adopted."""
+    return spark.createDataFrame([("v1", False), ("v2", True), ("v3", True), ("v4", False), ("v5", False)], "version string, adopted boolean")
