@@ -7,6 +7,7 @@ RDD checkpoint, is columnar, compressed and computed once.
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -87,3 +88,10 @@ def spread(stash: Stash, per_task: int) -> DataFrame:
     out of proportion to its bytes, by which adaptive execution would join partitions."""
     cores = stash.df.sparkSession.sparkContext.defaultParallelism
     return stash.df.repartition(max(cores, -(-stash.rows // per_task)))
+
+
+def sweep(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished plans: it does so when the driver's collector finds them unused, which
+    a driver with little to do may not run for long. For the seams between the phases of a long operator."""
+    gc.collect()
+    spark._jvm.System.gc()
