@@ -10,6 +10,8 @@ Items and annotators are aggregates combined map-side: one with a third of all v
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from venueweave.storage import Stash, broadcast_if_small
 
 #: Normal quantile of half the significance level (0.05 / 2); what keeps a sum of distances from zero; rounds at most;
 #: change of a weight, as a share of it, that ends them.
-Z_LOW, SMOOTHING, ROUNDS, STILL = -1.959964, 0.5, 12, 0.01
+Z_LOW, SMOOTHING, ROUNDS, STILL = -1.959964, 0.5, 100, 0.01
 
 VERDICTS = ["correct", "partial", "wrong"]
 FIELDS = ["vibe_tags", "noise_level", "crowd_level", "best_time", "recurring_events", "good_for", "sentiment"]
@@ -41,7 +43,7 @@ def discover_truth(votes: DataFrame, item: list[str], annotator: str = "reviewer
     kept = votes.select(*item, F.col(annotator).alias("annotator"), F.col(label).alias("label")).filter(F.col("annotator").isNotNull() & F.col("label").isNotNull())
     kept = Stash(kept, "votes")
     weights, change = None, None
-    for _ in range(ROUNDS):
+    for left in range(ROUNDS, 0, -1):
         weighted = _weighted(kept.df, weights)
         of_item = Window.partitionBy(*item)  # over an item's distinct labels
         sums = weighted.groupBy(*item, "label").agg(F.sum("w").alias("s")).withColumns({"total": F.sum("s").over(of_item), "squares": F.sum(F.col("s") * F.col("s")).over(of_item)})
@@ -58,6 +60,8 @@ def discover_truth(votes: DataFrame, item: list[str], annotator: str = "reviewer
         change = weights.df.agg(F.max(F.abs(F.col("weight") * ((scale[1] or 1.0) / (scale[0] or 1.0)) / F.col("old") - 1.0))).first()[0]
         if change is None or change < STILL:
             break
+        if left == 1:
+            warnings.warn(f"weights still move by {change:.1%} after {ROUNDS} rounds", RuntimeWarning, stacklevel=2)
     sums = _weighted(kept.df, weights).groupBy(*item, "label").agg(F.round(F.sum("w"), 9).alias("s"), F.count("*").alias("n"))
     ranked = F.struct((-F.col("s")).alias("s"), (-F.col("n")).alias("n"), F.col("label").alias("label"))
     best = sums.groupBy(*item).agg(F.min(ranked).alias("m"), F.sum("n").alias("votes"), F.sum("s").alias("total"))
