@@ -1,7 +1,8 @@
 """Evaluation texts leaking into training text: rare n-gram seeds, then Smith-Waterman alignment.
 
-The seeds are the rarest n-grams of each report, so many of them that any leak must hold some; reports of equal words are
-one report. Every document's n-grams are joined with them; documents that share as many seeds as the shortest passage must
+The seeds are the rarest n-grams of each report: those that one or two reports hold, and the next rarest where these are
+few, as with copies of a report; phrases that many reports share tell nothing about which of them leaked. Reports of equal
+words are one report. Every document's n-grams are joined with them; documents that share as many seeds as the shortest passage must
 are aligned with the report, word by word, wherever a passage may reach from an n-gram they share. An alignment tolerates
 an occasional changed, missing or added word; passages are taken out one after another until none of the least length is
 left. A document leaks an item if such passages hold the least share of the item's words.
@@ -20,7 +21,10 @@ from venueweave.storage import Stash, broadcast_if_small, spread
 
 #: Words of a seed; reports up to which an n-gram they share is rare; least share of a report's n-grams that are seeds, the
 #: next rarest making up for it; seeds that a passage of ten words holds if one of them is changed; pairs a task aligns.
-SEED, SHARED_BY, SEED_PART, LEAST_SEEDS, PAIRS_PER_TASK = 4, 2, 0.8, 3, 2_000
+SEED, SHARED_BY, SEED_PART, LEAST_SEEDS, PAIRS_PER_TASK = 4, 2, 0.35, 3, 500
+#: Least n-grams of any kind that a leak leaves whole, per word of the report: three of ten words, over a third of them, less
+#: a fifth for repeated ones.
+LEFT_WHOLE = 0.08
 #: Scores of an equal word, of a changed one and of one left out; least words of a passage; least share of an item's words.
 MATCH, CHANGE, GAP, PASSAGE, SHARE = 1, -2, -2, 10, 1.0 / 3.0
 
@@ -91,7 +95,8 @@ def align(doc: np.ndarray, item: np.ndarray) -> int:
 
 
 def _near(words: np.ndarray, report: np.ndarray, n_known: int) -> np.ndarray:
-    """The document's words that a passage through an n-gram shared with the report can reach, -1 where one was left out.
+    """The document's words that a passage through an n-gram shared with the report can reach, -1 where one was left out; none
+    if fewer n-grams are shared than any leak leaves whole.
 
     From an n-gram on, a passage holds each word of the report once at most, and every gap costs two of them.
     """
@@ -101,7 +106,10 @@ def _near(words: np.ndarray, report: np.ndarray, n_known: int) -> np.ndarray:
         return words[:0]
     known = np.minimum(words, n_known)
     whole = np.convolve(known == n_known, np.ones(SEED, int), "valid") == 0
-    at = np.flatnonzero(whole & np.isin(code(known), code(report)))
+    codes = code(known)
+    at = np.flatnonzero(whole & np.isin(codes, code(report)))
+    if len(np.unique(codes[at])) < LEFT_WHOLE * len(report):
+        return words[:0]
     reach = len(report) + len(report) // 2 + 1
     edge = np.zeros(len(words) + 1, np.int64)
     np.add.at(edge, np.maximum(0, at - reach), 1)

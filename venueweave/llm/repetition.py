@@ -115,5 +115,6 @@ def quality_profile(df: DataFrame, key: str = "doc_id", text: str = "text", thre
 
 
 def breaking(df: DataFrame, rule: str, key: str = "doc_id", text: str = "text", thresholds: list[tuple[str, float | None, float | None]] = THRESHOLDS) -> DataFrame:
-    """The profiles of the documents that break a rule of the table."""
-    return quality_profile(df, key, text, thresholds).filter(F.array_contains("failed", rule))
+    """(key, the rule's metric) of the documents that break a rule of the table; of the table only that row is compiled."""
+    profile = quality_profile(df, key, text, [row for row in thresholds if row[0] == rule])
+    return profile.filter(F.array_contains("failed", rule)).select(key, rule)
