@@ -50,8 +50,9 @@ def piece_keys(text: Column, edits: int) -> Column:
     return F.array(*keys)
 
 
-def probe_keys(text: Column, edits: int) -> Column:
-    """Keys of the places where a piece of a text within so many edits may stand in this one."""
+def probe_keys(text: Column, edits: int, shorter: bool = True) -> Column:
+    """Keys of the places where a piece of a text within so many edits may stand in this one; without ``shorter`` only of
+    texts at least as long as this one, which is enough where each pair is probed from both sides."""
     own = F.length(text)
 
     def of_piece(length: Column, i: Column) -> Column:
@@ -61,5 +62,5 @@ def probe_keys(text: Column, edits: int) -> Column:
         return F.when(low <= high, F.transform(F.sequence(low, F.greatest(low, high)), lambda s: F.xxhash64(length, i, text.substr(s + 1, n)))).otherwise(F.array().cast("array<bigint>"))
 
     pieces = F.sequence(F.lit(0), F.lit(edits))
-    lengths = F.sequence(F.greatest(F.lit(0), own - edits), own + edits)
+    lengths = F.sequence(F.greatest(F.lit(0), own - edits) if shorter else own, own + edits)
     return F.array_distinct(F.flatten(F.transform(lengths, lambda length: F.flatten(F.transform(pieces, lambda i: of_piece(length, i))))))
