@@ -2,16 +2,19 @@
 
 import datetime as dt
 import math
+import pathlib
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.test_operators import one_by_one
-from venueweave.functions.strings import best_similarity
+from venueweave.functions.strings import best_similarity, highest_similarity, letter_bits, name_similarities, name_similarity, word_bits
 from venueweave.operators import blocking
 from venueweave.operators.ledger import Run
 from venueweave.plans import canonical
 from venueweave.sources.tables import table
+from venueweave.storage import Stash, sweep
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -131,3 +134,65 @@ def test_nightly(spark, tmp_path):
         kept = canonical.nightly(run, progress, {"collect": lambda: ran.append(1), "resolve": lambda: ran.append(2)}, F.lit(dt.datetime(2026, 1, 1)))
     assert ran == [1, 2] and [r["unit_key"] for r in kept.collect()] == ["x:1"]
     assert run.runs().first()["status"] == "succeeded"
+
+
+def crowd(spark, n=400):
+    """Records of both feeds within some metres of one spot, at as many addresses, with names that share no word, and a copy of one."""
+    name = "concat(translate(substr(sha2(cast(id as string), 256), 1, 12), '0123456789', 'ghijklmnop'), ' ', translate(substr(md5(cast(id as string)), 1, 9), '0123456789', 'ghijklmnop'))"
+    rows = spark.range(n).selectExpr("id as raw_id", "if(id % 2 = 0, 'osm', 'dohmh') as source", f"{name} as name", "cast(id as string) as housenumber", "concat('lane ', id) as street", "'10001' as zip", "'' as phone", "40.7 + id * 1e-7 as lat", "-73.9D as lon")
+    twin = rows.filter("raw_id = 2").withColumn("raw_id", F.lit(n + 2).cast("bigint"))
+    return rows.unionByName(twin).unionByName(twin.withColumns({"raw_id": F.lit(n + 1).cast("bigint"), "source": F.lit("dohmh")}))
+
+
+def shuffled(spark, work) -> int:
+    """Rows that ``work`` writes to shuffles."""
+    context = spark.sparkContext
+    store, none = context._jsc.sc().statusStore(), context._gateway.new_array(context._jvm.double, 0)
+    written = lambda: sum(s.shuffleWriteRecords() for s in context._jvm.scala.jdk.javaapi.CollectionConverters.asJava(store.stageList(None, False, False, none, None)))
+    context._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    before = written()
+    work()
+    context._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    return written() - before
+
+
+def test_pairs_of_one_source_are_not_shuffled(spark):
+    frame = blocking.entities(crowd(spark)).repartition(3).cache()
+    frame.count()
+    found = []
+    rows = shuffled(spark, lambda: found.extend(blocking.same_source_duplicates(frame).collect()))
+    assert [(r["left_id"], r["right_id"]) for r in found] == [(2, 402)]
+    assert rows < 10_000  # of 40,000 pairs
+
+
+def test_pairs_of_two_sources_are_not_shuffled(spark):
+    frame = blocking.entities(crowd(spark)).repartition(3).cache()
+    frame.count()
+    found = []
+    rows = shuffled(spark, lambda: found.extend(blocking.cross_candidates(frame.filter("source = 'dohmh'"), frame.filter("source = 'osm'")).collect()))
+    assert sorted((r["left_id"], r["right_id"]) for r in found) == [(401, 2), (401, 402)]
+    assert rows < 10_000  # of 40,401 pairs
+
+
+def test_sweep_frees_the_last_plan(spark):
+    folders = [f.toString() for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {str(p) for f in folders for p in pathlib.Path(f).rglob("shuffle_*")}
+    before = files()
+    written = Stash(spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count(), "counted")
+    made = files() - before
+    sweep(spark)
+    until = time.time() + 5
+    while made & files() and time.time() < until:
+        time.sleep(0.1)
+    assert made and not made & files() and written.rows == 7
+
+
+def test_bounds_of_names(spark):
+    names = sorted({v for r in blocking.entities(table(spark, SMALL, "rec")).collect() for v in r["variants"]} | {"a a", "a", "a b a", "bar grill", "grill bar", "z" * 70, "y" * 64})[:220] + ["z" * 70, "y" * 64, "a a", "a"]
+    frame = spark.createDataFrame([(n,) for n in names], "name string").select("name", letter_bits(F.col("name")).alias("letters"), word_bits(F.col("name")).alias("words"), F.length("name").alias("length"))
+    side = lambda mark: frame.select(*[F.col(c).alias(f"{mark}_{c}") for c in frame.columns])
+    rows = side("a").crossJoin(side("b")).select("a_name", "b_name", highest_similarity("a_", "b_").alias("high")).collect()
+    exact = name_similarities([r["a_name"] for r in rows], [r["b_name"] for r in rows])
+    assert all(s <= r["high"] + 1e-9 for s, r in zip(exact, rows, strict=True))
+    assert all(s == name_similarity(r["a_name"], r["b_name"]) for s, r in list(zip(exact, rows, strict=True))[::7])
+    assert list(name_similarities(["", "é a", "a"], ["", "é b", ""])) == [name_similarity(*p) for p in (("", ""), ("é a", "é b"), ("a", ""))]

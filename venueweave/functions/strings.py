@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -52,6 +54,103 @@ def best_similarity(xs, ys) -> float:
     return max((name_similarity(x, y) for x in xs for y in ys), default=0.0)
 
 
+#: Texts of at most so many bytes fit into a word of bits; pairs compared at once.
+_BITS, _CHUNK = 64, 4096
+
+
+def common_lengths(xs: list[str], ys: list[str]) -> np.ndarray:
+    """``common_length`` of many pairs, a column of bits at a time for all of them; long or other than ASCII texts singly."""
+    out = np.zeros(len(xs), dtype=np.int64)
+    plain = np.array([len(x) <= _BITS and len(y) <= _BITS and x.isascii() and y.isascii() and "\0" not in x and "\0" not in y for x, y in zip(xs, ys, strict=True)], dtype=bool)
+    for k in np.flatnonzero(~plain):
+        out[k] = common_length(xs[k], ys[k])
+    chosen = np.flatnonzero(plain)
+    sizes = np.array([len(xs[k]) + len(ys[k]) for k in chosen], dtype=np.int64)
+    chosen = chosen[np.argsort(sizes, kind="stable")]  # texts of like length end together
+    for at in range(0, len(chosen), _CHUNK):
+        part = chosen[at : at + _CHUNK]
+        bytes_of = lambda texts: np.array([texts[k] for k in part], dtype=f"S{_BITS}").view(np.uint8).reshape(len(part), _BITS)  # noqa: B023, E731
+        a, b = bytes_of(xs), bytes_of(ys)
+        kinds, codes = np.unique(np.concatenate([a, b]), return_inverse=True)
+        codes = codes.reshape(2, len(part), _BITS)
+        long_a, long_b = (a != 0).sum(axis=1), (b != 0).sum(axis=1)
+        where, row = np.zeros((len(kinds), len(part)), dtype=np.uint64), np.arange(len(part))
+        for i in range(long_a.max(initial=0)):
+            where[codes[0, :, i], row] |= np.uint64(1) << np.uint64(i)
+        where[kinds == 0] = 0
+        rows = np.full(len(part), ~np.uint64(0))
+        for j in range(long_b.max(initial=0)):
+            hits = rows & where[codes[1, :, j], row]
+            rows = (rows + hits) | (rows - hits)
+        full = np.where(long_a == _BITS, ~np.uint64(0), (np.uint64(1) << (long_a % _BITS).astype(np.uint64)) - np.uint64(1))
+        out[part] = long_a - np.bitwise_count(rows & full)
+    return out
+
+
+def name_similarities(xs: list[str], ys: list[str]) -> np.ndarray:
+    """``name_similarity`` of many pairs: the common subsequences of all are found together."""
+    parts: dict[str, tuple[str, frozenset, str]] = {}
+
+    def of(text: str) -> tuple[str, frozenset, str]:
+        if text not in parts:
+            words = text.split()
+            parts[text] = (" ".join(sorted(words)), frozenset(words), " ".join(sorted(set(words))))
+        return parts[text]
+
+    asked: dict[tuple[str, str], int] = {}
+    ask = lambda x, y: asked.setdefault((x, y), len(asked))
+    plain, ordered, rests, fixed = [], [], [], []
+    for x, y in zip(xs, ys, strict=True):
+        (sx, a, ux), (sy, b, uy) = of(x), of(y)
+        plain.append(ask(x, y))
+        ordered.append(ask(sx, sy))
+        common = a & b
+        if not a or not b:
+            rest, known = -1, 0.0
+        elif not common:
+            rest, known = ask(ux, uy), 0.0
+        elif len(common) == len(a) or len(common) == len(b):
+            rest, known = -1, 100.0
+        else:
+            both = " ".join(sorted(common))
+            left, right = f"{both} {' '.join(sorted(a - b))}", f"{both} {' '.join(sorted(b - a))}"
+            rest, known = ask(left, right), max(200.0 * len(both) / (len(both) + len(left)), 200.0 * len(both) / (len(both) + len(right)))
+        rests.append(rest)
+        fixed.append(known)
+    first, second = [x for x, _ in asked], [y for _, y in asked]
+    total = np.array([len(x) + len(y) for x, y in asked], dtype=np.int64)
+    ratios = np.where(total > 0, 200.0 * common_lengths(first, second) / np.maximum(total, 1), 100.0)
+    ratios = np.append(ratios, 0.0)  # at -1: nothing asked
+    return np.maximum(ratios[plain], (np.maximum(fixed, ratios[rests]) + ratios[ordered]) / 2) / 100.0 if xs else np.zeros(0)
+
+
+def letter_bits(name: Column) -> Column:
+    """64 bits of a normalised name: the letters and digits in it, and the letters that are in it twice. Each bit by which two
+    names differ is a letter that one of them must lose on the way to the other."""
+    code = lambda c: F.when(c.between("a", "z"), F.ascii(c) - 97).when(c.between("0", "9"), F.ascii(c) - 22)
+    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("bigint"), k)
+    none = F.lit(0).cast("bigint")
+    add = lambda s, k: s.bitwiseOR(F.when(s.bitwiseAND(bit(k)) == 0, bit(k)).when(k < 26, bit(k + 36)).otherwise(none))
+    return F.aggregate(F.array_compact(F.transform(F.split(name, ""), code)), none, add)
+
+
+def word_bits(name: Column) -> Column:
+    """64 bits of a normalised name: one for each of its words; all bits if a word is in it twice. Names that share no bit share
+    no word."""
+    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(w), F.lit(64)).cast("int"))
+    words = F.split(name, " ")
+    bits = F.aggregate(words, F.lit(0).cast("bigint"), lambda s, w: s.bitwiseOR(bit(w)))
+    return F.when(F.size(F.array_distinct(words)) < F.size(words), F.lit(-1).cast("bigint")).otherwise(bits)
+
+
+def highest_similarity(a: str, b: str) -> Column:
+    """What the similarity of two non-empty normalised names can't exceed, from columns <a>letters, <a>words and <a>length: no
+    ratio exceeds the share of letters that needn't be lost, and that of the common words counts only where words are shared."""
+    lost = F.greatest(F.bit_count(F.col(f"{a}letters").bitwiseXOR(F.col(f"{b}letters"))), F.abs(F.col(f"{a}length") - F.col(f"{b}length")))
+    kept = 1.0 - lost / (F.col(f"{a}length") + F.col(f"{b}length"))
+    return F.when(F.col(f"{a}words").bitwiseAND(F.col(f"{b}words")) == 0, kept).otherwise((1.0 + kept) / 2)
+
+
 def _texts(measure):
     @F.pandas_udf("double")
     def column(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -67,15 +166,15 @@ def similarity_columns() -> dict:
 
 
 def variants_column():
-    """Column function of two columns of name variants."""
+    """Column function of two columns of name variants: ``best_similarity``, for all rows of a batch together."""
 
     @F.pandas_udf("double")
     def column(a: pd.Series, b: pd.Series) -> pd.Series:
-        known: dict = {}
-        out = []
-        for x, y in zip(a, b, strict=True):
-            key = (tuple(() if x is None else x), tuple(() if y is None else y))
-            out.append(known[key] if key in known else known.setdefault(key, best_similarity(*key)))
-        return pd.Series(out, dtype="float64")
+        known: dict[tuple, int] = {}
+        at = [known.setdefault((tuple(() if x is None else x), tuple(() if y is None else y)), len(known)) for x, y in zip(a, b, strict=True)]
+        pairs = [(k, x, y) for (xs, ys), k in known.items() for x in xs for y in ys]
+        best = np.zeros(len(known))
+        np.maximum.at(best, np.array([k for k, _, _ in pairs], dtype=np.int64), name_similarities([x for _, x, _ in pairs], [y for _, _, y in pairs]))
+        return pd.Series(best[at] if at else best, dtype="float64")
 
     return column

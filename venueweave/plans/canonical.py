@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venueweave.functions.text import street_split
-from venueweave.operators.blocking import best_match, cross_candidates, decide, entities, fold_clusters, same_source_duplicates
+from venueweave.operators.blocking import best_match, cross_candidates, decide, fold_clusters, held_entities, same_source_duplicates
 from venueweave.operators.components import components
 from venueweave.operators.ledger import Run, expire
 from venueweave.operators.readmodels import live
@@ -18,7 +18,7 @@ from venueweave.storage import Stash
 
 def canonical_venues(rec: DataFrame, inspections: str = "dohmh", base: str = "osm") -> tuple[DataFrame, DataFrame]:
     """(venues, decisions): one row for each cluster of records, and every decided candidate pair."""
-    records = Stash(entities(rec), "entities").df
+    records = held_entities(rec)
     duplicates = Stash(same_source_duplicates(records), "duplicates").df
     candidates = Stash(cross_candidates(records.filter(F.col("source") == inspections), records.filter(F.col("source") == base)), "candidates").df
     decisions = Stash(decide(candidates, duplicates), "decisions").df
@@ -38,7 +38,7 @@ def with_split_address(reviews: DataFrame) -> DataFrame:
 def link_reviews(reviews: DataFrame, venues: DataFrame, region: DataFrame | None = None) -> DataFrame:
     """Review-like records (in the entity table's shape) linked to their best live venue record; those outside ``region``
     are told so."""
-    return best_match(Stash(entities(with_split_address(reviews)), "entities").df, Stash(entities(live(venues)), "entities").df, region)
+    return best_match(held_entities(with_split_address(reviews)), held_entities(live(venues)), region)
 
 
 def save_canonical(venues: DataFrame, decisions: DataFrame, members: DataFrame, folder: str, run: str, now: Column) -> None:

@@ -81,7 +81,7 @@ def _rec(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _entities(spark: SparkSession, folder: str) -> DataFrame:
-    return Stash(blocking.entities(_rec(spark, folder)), "entities").df
+    return blocking.held_entities(_rec(spark, folder))
 
 
 def _venues(spark: SparkSession, folder: str) -> DataFrame:
