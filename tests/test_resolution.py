@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_operators import one_by_one
-from venueweave.functions.strings import best_similarity, highest_similarity, letter_bits, name_similarities, name_similarity, word_bits
+from venueweave.functions.strings import best_similarity, highest_similarity, letter_bits, name_similarities, name_sizes, name_similarity, word_bits
 from venueweave.operators import blocking
 from venueweave.operators.ledger import Run
 from venueweave.plans import canonical
@@ -189,7 +189,7 @@ def test_sweep_frees_the_last_plan(spark):
 
 def test_bounds_of_names(spark):
     names = sorted({v for r in blocking.entities(table(spark, SMALL, "rec")).collect() for v in r["variants"]} | {"a a", "a", "a b a", "bar grill", "grill bar", "z" * 70, "y" * 64})[:220] + ["z" * 70, "y" * 64, "a a", "a"]
-    frame = spark.createDataFrame([(n,) for n in names], "name string").select("name", letter_bits(F.col("name")).alias("letters"), word_bits(F.col("name")).alias("words"), F.length("name").alias("length"))
+    frame = spark.createDataFrame([(n,) for n in names], "name string").select("name", letter_bits(F.col("name")).alias("letters"), word_bits(F.col("name")).alias("words"), name_sizes(F.col("name")).alias("sizes"))
     side = lambda mark: frame.select(*[F.col(c).alias(f"{mark}_{c}") for c in frame.columns])
     rows = side("a").crossJoin(side("b")).select("a_name", "b_name", highest_similarity("a_", "b_").alias("high")).collect()
     exact = name_similarities([r["a_name"] for r in rows], [r["b_name"] for r in rows])

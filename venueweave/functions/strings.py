@@ -71,16 +71,18 @@ def common_lengths(xs: list[str], ys: list[str]) -> np.ndarray:
         part = chosen[at : at + _CHUNK]
         bytes_of = lambda texts: np.array([texts[k] for k in part], dtype=f"S{_BITS}").view(np.uint8).reshape(len(part), _BITS)  # noqa: B023, E731
         a, b = bytes_of(xs), bytes_of(ys)
-        kinds, codes = np.unique(np.concatenate([a, b]), return_inverse=True)
-        codes = codes.reshape(2, len(part), _BITS)
         long_a, long_b = (a != 0).sum(axis=1), (b != 0).sum(axis=1)
-        where, row = np.zeros((len(kinds), len(part)), dtype=np.uint64), np.arange(len(part))
-        for i in range(long_a.max(initial=0)):
-            where[codes[0, :, i], row] |= np.uint64(1) << np.uint64(i)
-        where[kinds == 0] = 0
+        a, b = a[:, : long_a.max(initial=0)].T, b[:, : long_b.max(initial=0)].T
+        seen = np.bincount(a.ravel(), minlength=256) > 0
+        seen[0] = False
+        code = np.where(seen, np.cumsum(seen), 0)  # 0: the end of a text, or a letter of no first text
+        where, row = np.zeros((seen.sum() + 1) * len(part), dtype=np.uint64), np.arange(len(part))
+        for i, at in enumerate(code[a] * len(part) + row):
+            where[at] |= np.uint64(1) << np.uint64(i)
+        where[: len(part)] = 0
         rows = np.full(len(part), ~np.uint64(0))
-        for j in range(long_b.max(initial=0)):
-            hits = rows & where[codes[1, :, j], row]
+        for at in code[b] * len(part) + row:
+            hits = rows & where[at]
             rows = (rows + hits) | (rows - hits)
         full = np.where(long_a == _BITS, ~np.uint64(0), (np.uint64(1) << (long_a % _BITS).astype(np.uint64)) - np.uint64(1))
         out[part] = long_a - np.bitwise_count(rows & full)
@@ -135,20 +137,29 @@ def letter_bits(name: Column) -> Column:
 
 
 def word_bits(name: Column) -> Column:
-    """64 bits of a normalised name: one for each of its words; all bits if a word is in it twice. Names that share no bit share
-    no word."""
+    """64 bits of a normalised name: one for each of its words; all bits if a word is in it twice or two share a bit. Names share
+    at most as many words as bits."""
     bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(w), F.lit(64)).cast("int"))
     words = F.split(name, " ")
     bits = F.aggregate(words, F.lit(0).cast("bigint"), lambda s, w: s.bitwiseOR(bit(w)))
-    return F.when(F.size(F.array_distinct(words)) < F.size(words), F.lit(-1).cast("bigint")).otherwise(bits)
+    return F.when(F.bit_count(bits) < F.size(words), F.lit(-1).cast("bigint")).otherwise(bits)
+
+
+def name_sizes(name: Column) -> Column:
+    """Length of a normalised name and of its longest word, in one number."""
+    return F.length(name) * 4096 + F.array_max(F.transform(F.split(name, " "), lambda w: F.length(w)))
 
 
 def highest_similarity(a: str, b: str) -> Column:
-    """What the similarity of two non-empty normalised names can't exceed, from columns <a>letters, <a>words and <a>length: no
-    ratio exceeds the share of letters that needn't be lost, and that of the common words counts only where words are shared."""
-    lost = F.greatest(F.bit_count(F.col(f"{a}letters").bitwiseXOR(F.col(f"{b}letters"))), F.abs(F.col(f"{a}length") - F.col(f"{b}length")))
-    kept = 1.0 - lost / (F.col(f"{a}length") + F.col(f"{b}length"))
-    return F.when(F.col(f"{a}words").bitwiseAND(F.col(f"{b}words")) == 0, kept).otherwise((1.0 + kept) / 2)
+    """What the similarity of two non-empty normalised names can't exceed, from columns <a>letters, <a>words and <a>sizes: no
+    ratio exceeds the share of letters that needn't be lost, and that of the common words no more than so many words can make up."""
+    length = [F.shiftright(f"{m}sizes", 12) for m in (a, b)]
+    longest = F.least(*[F.col(f"{m}sizes").bitwiseAND(4095) for m in (a, b)])
+    lost = F.greatest(F.bit_count(F.col(f"{a}letters").bitwiseXOR(F.col(f"{b}letters"))), F.abs(length[0] - length[1]))
+    kept = 1.0 - lost / (length[0] + length[1])
+    shared = F.bit_count(F.col(f"{a}words").bitwiseAND(F.col(f"{b}words")))
+    common = F.least(shared * (longest + 1) - 1, *length)
+    return F.when(shared == 0, kept).otherwise((kept + F.greatest(kept, 2.0 * common / (common + F.least(*length)))) / 2)
 
 
 def _texts(measure):
@@ -166,15 +177,17 @@ def similarity_columns() -> dict:
 
 
 def variants_column():
-    """Column function of two columns of name variants: ``best_similarity``, for all rows of a batch together."""
+    """Column function of two columns of normalised name variants, none of them empty, a line each: ``best_similarity``, for all
+    rows of a batch together."""
 
     @F.pandas_udf("double")
     def column(a: pd.Series, b: pd.Series) -> pd.Series:
-        known: dict[tuple, int] = {}
-        at = [known.setdefault((tuple(() if x is None else x), tuple(() if y is None else y)), len(known)) for x, y in zip(a, b, strict=True)]
-        pairs = [(k, x, y) for (xs, ys), k in known.items() for x in xs for y in ys]
+        known: dict[tuple[str, str], int] = {}
+        at = [known.setdefault(key, len(known)) for key in zip(a, b, strict=True)]
+        pairs = [(k, x, y) for (xs, ys), k in known.items() if xs and ys for x in xs.split("\n") for y in ys.split("\n")]
         best = np.zeros(len(known))
         np.maximum.at(best, np.array([k for k, _, _ in pairs], dtype=np.int64), name_similarities([x for _, x, _ in pairs], [y for _, _, y in pairs]))
         return pd.Series(best[at] if at else best, dtype="float64")
 
-    return column
+    # told to be nondeterministic so that filters on it aren't pushed below it with all that they are made of written out
+    return column.asNondeterministic()
