@@ -174,6 +174,15 @@ def test_pairs_of_two_sources_are_not_shuffled(spark):
     assert rows < 10_000  # of 40,401 pairs
 
 
+def test_best_of_a_crowd_is_found_without_shuffling_all_pairs(spark):
+    frame = blocking.entities(crowd(spark)).repartition(3).cache()
+    frame.count()
+    found, left = [], frame.filter("raw_id = 401").crossJoin(spark.range(1000, 1100)).withColumn("raw_id", F.col("id")).drop("id")
+    rows = shuffled(spark, lambda: found.extend(blocking.best_match(left, frame.filter("source = 'osm'")).collect()))
+    assert {r["left_id"]: (r["venue_id"], r["candidates"]) for r in found} == {k: (2, 201) for k in range(1000, 1100)}
+    assert rows < 10_000  # of 20,100 pairs
+
+
 def test_sweep_frees_the_last_plan(spark):
     folders = [f.toString() for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
     files = lambda: {str(p) for f in folders for p in pathlib.Path(f).rglob("shuffle_*")}
